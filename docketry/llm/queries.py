@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docketry.llm.common import table
 
@@ -17,5 +18,12 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
-QUERIES = {"op4_best_fit_packing": op4_best_fit_packing}
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docketry.llm.simhash import near_duplicates
+
+    found = near_duplicates(table(spark, sf_dir, "documents"), width=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op4_best_fit_packing, op9_simhash_near_dedup)}
 ORACLE: dict[str, str] = {}
