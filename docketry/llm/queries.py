@@ -12,6 +12,12 @@ from docketry.llm.common import table
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docketry.llm.line_dedup import dedup_lines
+
+    return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_deleted", "text")
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docketry.llm.packing import pack_documents
 
@@ -25,5 +31,5 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op4_best_fit_packing, op9_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op3_line_dedup, op4_best_fit_packing, op9_simhash_near_dedup)}
 ORACLE: dict[str, str] = {}
