@@ -12,6 +12,12 @@ from docketry.llm.common import table
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docketry.llm.quality_rules import COUNTS, quality_verdicts
+
+    return quality_verdicts(table(spark, sf_dir, "documents")).select("doc_id", *COUNTS, "base_failed", "kept")
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docketry.llm.line_dedup import dedup_lines
 
@@ -31,5 +37,5 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op3_line_dedup, op4_best_fit_packing, op9_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_line_dedup, op4_best_fit_packing, op9_simhash_near_dedup)}
 ORACLE: dict[str, str] = {}
