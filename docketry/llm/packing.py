@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -36,6 +37,48 @@ _SAFE_SPLIT = re.compile(r"(?<=\S) (?=\S)")
 _UNSAFE = re.compile(r"^\s|\s$|\s\s")
 
 
+class Memo(dict):
+    """Chunk -> little-endian ids; two generations bound it, and what is still in use moves to the new one."""
+
+    def __init__(self, encode, prefix: str, limit: int):
+        self.encode, self.prefix, self.limit, self.old = encode, prefix, limit, {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.old.get(chunk)
+        if ids is None:
+            ids = array("I", self.encode(self.prefix + chunk)).tobytes()
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[chunk] = ids
+        return ids
+
+
+def engine(path: str):
+    """text -> ids of a byte-level BPE file. If its merges stand in the order of their ids, as ranks do, a rank
+    engine gives the same ids several times faster; any other file is left to its own library."""
+    import json
+
+    import public_tokenizers
+    import tiktoken
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    vocab, merges = spec["model"]["vocab"], spec["model"].get("merges", [])
+    joined = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in merges]
+    letters = sorted(pre_tokenizers.ByteLevel.alphabet())
+    plain = spec.get("normalizer") is None and (spec.get("pre_tokenizer") or {}).get("type") == "ByteLevel" and not spec["pre_tokenizer"].get("add_prefix_space")
+    if plain and all(vocab.get(x) == len(letters) + k for k, x in enumerate(joined)):
+        shown = [k for k in range(256) if chr(k) in letters]
+        byte = {chr(k): k for k in shown} | {chr(256 + n): k for n, k in enumerate(k for k in range(256) if k not in shown)}
+        ranks = {bytes(byte[c] for c in x): vocab[x] for x in [*letters, *joined]}
+        return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    tok = Tokenizer.from_file(path)
+    tok.encode_special_tokens = True
+    return lambda text: tok.encode(text, add_special_tokens=False).ids
+
+
 class Encoder:
     """Exact ids of a byte-level BPE file, memoised per space-separated chunk.
 
@@ -43,39 +86,19 @@ class Encoder:
     and each chunk encoded alone. The memo lives as long as the Python worker and is bounded.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
-        from tokenizers import Tokenizer
-
-        self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
-        self.memo: dict[str, bytes] = {}
-        self.limit = limit
+    def __init__(self, path: str, limit: int = 300_000):
+        encode = engine(path)
+        self.first, self.rest = Memo(encode, "", limit // 10), Memo(encode, " ", limit)
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         if not text:
             return b""
         parts = text.split(" ") if not _UNSAFE.search(text) else _SAFE_SPLIT.split(text)
-        memo = self.memo
-        rest = parts[1:]
-        try:
-            return self.plain([parts[0]])[0] + b"".join(map(memo.__getitem__, rest))
-        except KeyError:
-            pass
-        if len(memo) > self.limit:
-            memo.clear()
-        missing = [p for p in dict.fromkeys(rest) if p not in memo]
-        memo.update(zip(missing, self.plain([f" {p}" for p in missing])))
-        return self.plain([parts[0]])[0] + b"".join(map(memo.__getitem__, rest))
-
-    def plain(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        return self.first[parts[0]] + b"".join(map(self.rest.__getitem__, parts[1:]))
 
 
 def encoder(path: str) -> Encoder:
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     if path not in _MEMO:
         _MEMO[path] = Encoder(path)
     return _MEMO[path]

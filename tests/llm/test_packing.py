@@ -10,10 +10,12 @@ from docketry.llm.packing import Encoder, fullest, pack_documents, plan_bins
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
+TOK = Tokenizer.from_file(PATH)
+TOK.encode_special_tokens = True
+
+
 def plain_ids(text):
-    tok = Tokenizer.from_file(PATH)
-    tok.encode_special_tokens = True
-    return tok.encode(text or "", add_special_tokens=False).ids
+    return TOK.encode(text or "", add_special_tokens=False).ids
 
 
 TEXTS = [
@@ -28,6 +30,15 @@ def test_encoder_equals_whole_text_encoding():
             assert np.frombuffer(enc.encode(t or ""), "<u4").tolist() == plain_ids(t), repr(t)
 
 
+def test_encoder_on_random_text_and_small_memo():
+    rng = np.random.default_rng(3)
+    pieces = ["the", " ", "  ", "\n", "\t", "Élan", "ß", "12", "'s", "!!", "a", "中文", "\u00a0", "\u3000", "x" * 300, "\r\n", "-"]
+    enc = Encoder(PATH, 20)
+    for _ in range(400):
+        t = "".join(rng.choice(pieces, rng.integers(1, 25)))
+        assert np.frombuffer(enc.encode(t), "<u4").tolist() == plain_ids(t), repr(t)
+
+
 def test_fullest_is_brute_force_best():
     rng = np.random.default_rng(1)
     for _ in range(60):
