@@ -34,7 +34,10 @@ PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, seque
 
 _MEMO: dict[str, "Encoder"] = {}
 _SAFE_SPLIT = re.compile(r"(?<=\S) (?=\S)")
-_UNSAFE = re.compile(r"^\s|\s$|\s\s")
+
+
+class Unsafe(Exception):
+    """A space stands beside other white space, so chunks between spaces are not independent."""
 
 
 class Memo(dict):
@@ -46,6 +49,8 @@ class Memo(dict):
     def __missing__(self, chunk: str) -> bytes:
         ids = self.old.get(chunk)
         if ids is None:
+            if self.prefix and (not chunk or chunk[0].isspace() or chunk[-1].isspace()):
+                raise Unsafe
             ids = array("I", self.encode(self.prefix + chunk)).tobytes()
         if len(self) >= self.limit:
             self.old = dict(self)
@@ -87,15 +92,21 @@ class Encoder:
     """
 
     def __init__(self, path: str, limit: int = 300_000):
-        encode = engine(path)
+        self.exact = encode = engine(path)
         self.first, self.rest = Memo(encode, "", limit // 10), Memo(encode, " ", limit)
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         if not text:
             return b""
-        parts = text.split(" ") if not _UNSAFE.search(text) else _SAFE_SPLIT.split(text)
-        return self.first[parts[0]] + b"".join(map(self.rest.__getitem__, parts[1:]))
+        parts = text.split(" ")
+        try:
+            if not parts[0] or parts[0][-1].isspace():
+                raise Unsafe
+            return self.first[parts[0]] + b"".join(map(self.rest.__getitem__, parts[1:]))
+        except Unsafe:
+            head, *tail = _SAFE_SPLIT.split(text)
+            return b"".join([array("I", self.exact(head)).tobytes(), *[array("I", self.exact(f" {x}")).tobytes() for x in tail]])
 
 
 def encoder(path: str) -> Encoder:

@@ -30,6 +30,12 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op6_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docketry.llm.mixing import mix_sources
+
+    return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "lang", "source", "copy", "shuffle_key", "text")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docketry.llm.simhash import near_duplicates
 
@@ -37,5 +43,17 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_line_dedup, op4_best_fit_packing, op9_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_line_dedup, op4_best_fit_packing, op6_poisson_mixing, op9_simhash_near_dedup)}
 ORACLE: dict[str, str] = {}
+
+ORACLE["op6_poisson_mixing"] = """
+WITH d AS (SELECT *, coalesce('=' || source, '') AS src, coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, '')) AS key FROM documents),
+s AS (SELECT src, sum(coalesce(length(text), 0))::DOUBLE AS chars FROM d GROUP BY src),
+r AS (SELECT src, CASE WHEN chars > 0 THEN sqrt(chars) / (SELECT sum(sqrt(chars)) FROM s) * (SELECT sum(chars) FROM s) / chars ELSE 1.0 END AS rate FROM s),
+p AS (SELECT src, i, sum(exp(-rate + i * ln(rate) - lgamma(i + 1))) OVER (PARTITION BY src ORDER BY i) AS cdf
+      FROM r, LATERAL (SELECT unnest(generate_series(0, ceil(rate + 12 * sqrt(rate) + 20)::INT)) AS i)),
+u AS (SELECT doc_id, lang, source, text, src, key, (('0x' || substr(md5('17|' || key), 1, 12))::BIGINT + 0.5::DOUBLE) / 281474976710656::DOUBLE AS u FROM d),
+n AS (SELECT *, (SELECT count(*) FROM p WHERE p.src = u.src AND p.cdf < u.u) AS n FROM u),
+c AS (SELECT doc_id, lang, source, text, key, unnest(generate_series(1, n))::INT AS copy FROM n WHERE n > 0)
+SELECT doc_id, lang, source, copy, (('0x' || substr(md5('17:order|' || key || '|' || copy::VARCHAR), 1, 12))::BIGINT + 0.5::DOUBLE) / 281474976710656::DOUBLE AS shuffle_key, text FROM c
+"""

@@ -203,7 +203,7 @@ def fingerprint_links(nodes: DataFrame, scratch: Scratch, dense: int = 4096) ->
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col: str = "text", also: tuple[str, ...] = (), dense: int = 4096) -> DataFrame:
-    """Per row of `docs`: doc_id, fp (signed long), component_id[, also...]."""
+    """Per row of `docs`: doc_id, fp (signed long), component_id, root (least fingerprint of the component)[, also...]."""
     scratch = Scratch(docs.sparkSession, "simhash")
     rows = scratch.write(fingerprints(docs, width, id_col, text_col, also), "fingerprints")
     nodes = scratch.write(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
@@ -211,5 +211,20 @@ def near_duplicates(docs: DataFrame, width: int = 3, id_col: str = "doc_id", tex
     roots = connected_components(links, scratch)
     rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id", *also)
+    named = rooted.join(least, "root").select("fp", "root", "component_id")
+    return rows.join(named, "fp").select("doc_id", "fp", "component_id", "root", *also)
+
+
+def drop_near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """`docs` with one row of each component: that of the least id (null last), ties by a hash of the text."""
+    scratch, last = Scratch(docs.sparkSession, "neardup"), 2**63 - 1
+    keyed = docs.withColumns({"_id": F.coalesce(F.col(id_col).cast("long"), F.lit(last)), "_th": F.xxhash64(F.col(text_col).cast("string"))})
+    found = near_duplicates(keyed, width, "_id", text_col, ("_th",))
+    per_doc = found.groupBy("root", "doc_id", "_th").agg(F.count("*").alias("n"))
+    best = per_doc.groupBy("root").agg(F.min(F.struct("doc_id", "_th", "n")).alias("k"))
+    keep = scratch.write(best.select(F.col("k.doc_id").alias("_id"), F.col("k._th").alias("_th"), F.col("k.n").alias("n")), "keep")
+    kept = keyed.join(keep.where("n = 1"), ["_id", "_th"], "left_semi")
+    repeated = keep.where("n > 1")
+    if not repeated.isEmpty():
+        kept = kept.unionByName(keyed.join(repeated, ["_id", "_th"], "left_semi").dropDuplicates(["_id", "_th"]))
+    return kept.drop("_id", "_th")
