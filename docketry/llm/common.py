@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -40,6 +41,11 @@ class Scratch:
     def read(self, name: str, like: DataFrame) -> DataFrame:
         return self.spark.read.schema(like.schema).parquet(self.path(name))
 
+    def tidy(self) -> None:
+        """Let Spark's cleaner free the shuffle files of finished jobs now, not at some later collection."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, *names: str) -> None:
         """Free a table that nothing reads any more."""
         for name in names:

@@ -12,6 +12,12 @@ from docketry.llm.common import table
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docketry.llm.katz import Katz
+
+    return Katz(table(spark, sf_dir, "documents"), order=2).scores()
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docketry.llm.quality_rules import COUNTS, quality_verdicts
 
@@ -43,7 +49,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_line_dedup, op4_best_fit_packing, op6_poisson_mixing, op9_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_katz_backoff, op2_quality_rules, op3_line_dedup, op4_best_fit_packing, op6_poisson_mixing, op9_simhash_near_dedup)}
 ORACLE: dict[str, str] = {}
 
 ORACLE["op6_poisson_mixing"] = """
