@@ -36,6 +36,15 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op5_disclosure_sanitising(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docketry.llm.pii import KINDS, all_spans, disclosures, listed
+
+    found = disclosures(table(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    n = [count(k).alias(f"n_{kind}") for k, kind in enumerate(KINDS[:4])]
+    return found.select("doc_id", *n, F.sha2(listed(F.col("base")).cast("binary"), 256).alias("base_sha256"), listed(all_spans(F.col("base"), F.col("terms"))).alias("spans"))
+
+
 def op6_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docketry.llm.mixing import mix_sources
 
@@ -49,7 +58,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_katz_backoff, op2_quality_rules, op3_line_dedup, op4_best_fit_packing, op6_poisson_mixing, op9_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_katz_backoff, op2_quality_rules, op3_line_dedup, op4_best_fit_packing, op5_disclosure_sanitising, op6_poisson_mixing, op9_simhash_near_dedup)}
 ORACLE: dict[str, str] = {}
 
 ORACLE["op6_poisson_mixing"] = """
