@@ -51,6 +51,12 @@ def op6_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "lang", "source", "copy", "shuffle_key", "text")
 
 
+def op8_kernel_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docketry.llm.classifier import score_quality
+
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docketry.llm.simhash import near_duplicates
 
@@ -58,7 +64,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_katz_backoff, op2_quality_rules, op3_line_dedup, op4_best_fit_packing, op5_disclosure_sanitising, op6_poisson_mixing, op9_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_katz_backoff, op2_quality_rules, op3_line_dedup, op4_best_fit_packing, op5_disclosure_sanitising, op6_poisson_mixing, op8_kernel_classifier, op9_simhash_near_dedup)}
 ORACLE: dict[str, str] = {}
 
 ORACLE["op6_poisson_mixing"] = """
