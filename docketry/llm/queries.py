@@ -64,7 +64,13 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_katz_backoff, op2_quality_rules, op3_line_dedup, op4_best_fit_packing, op5_disclosure_sanitising, op6_poisson_mixing, op8_kernel_classifier, op9_simhash_near_dedup)}
+def op10_pruned_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docketry.llm.ann import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_katz_backoff, op2_quality_rules, op3_line_dedup, op4_best_fit_packing, op5_disclosure_sanitising, op6_poisson_mixing, op8_kernel_classifier, op9_simhash_near_dedup, op10_pruned_graph_search)}
 ORACLE: dict[str, str] = {}
 
 ORACLE["op6_poisson_mixing"] = """
