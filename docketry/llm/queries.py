@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docketry.llm import licences
 from docketry.llm.common import table
 
 #: Parameter: where the tokenizer file lies; never copied into the repository.
@@ -51,6 +52,12 @@ def op6_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "lang", "source", "copy", "shuffle_key", "text")
 
 
+def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docketry.llm.licences import scan_licences
+
+    return scan_licences(table(spark, sf_dir, "documents"))
+
+
 def op8_kernel_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docketry.llm.classifier import score_quality
 
@@ -70,8 +77,8 @@ def op10_pruned_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_katz_backoff, op2_quality_rules, op3_line_dedup, op4_best_fit_packing, op5_disclosure_sanitising, op6_poisson_mixing, op8_kernel_classifier, op9_simhash_near_dedup, op10_pruned_graph_search)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_katz_backoff, op2_quality_rules, op3_line_dedup, op4_best_fit_packing, op5_disclosure_sanitising, op6_poisson_mixing, op7_licence_scan, op8_kernel_classifier, op9_simhash_near_dedup, op10_pruned_graph_search)}
+ORACLE: dict[str, str] = {"op7_licence_scan": licences.oracle()}
 
 ORACLE["op6_poisson_mixing"] = """
 WITH d AS (SELECT *, coalesce('=' || source, '') AS src, coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, '')) AS key FROM documents),
