@@ -1,6 +1,424 @@
-"""Registered queries of the filing operators, each beside its SQL oracle."""
+"""Registered queries of the filing operators over the supplied tables, each beside its SQL oracle.
+
+The supplied tables hold no filings, so views with the same expressions on both engines stand in: orders as
+catalog rows, pages wrapped as filing dumps, document lines as table rows. What the tables cannot show (HTML
+and text tables, fallback sections) runs on the fixtures at the end, without an oracle.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+import datetime as dt
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from docketry.config import Settings
+from docketry.functions import header as H
+from docketry.functions import text as T
+from docketry.operators import catalog as C
+from docketry.operators import coverage as V
+from docketry.operators import extract as X
+from docketry.sources.filings import to_blocks
+
+START, END = dt.date(1996, 1, 1), dt.date(1997, 12, 31)
+AS_OF = dt.date(2002, 1, 1)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return register
+
+
+def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# --- views --------------------------------------------------------------------------------------------------
+
+_TYPES = {"1-URGENT": "FILING_10K", "2-HIGH": "FILING_10Q", "3-MEDIUM": "FILING_8K", "4-NOT SPECIFIED": "FILING_4", "5-LOW": "other"}
+FILINGS_SQL = """filings AS (
+  SELECT o_orderkey::BIGINT AS id, 'C' || o_custkey AS ticker,
+    CASE o_orderpriority WHEN '1-URGENT' THEN 'FILING_10K' WHEN '2-HIGH' THEN 'FILING_10Q' WHEN '3-MEDIUM' THEN 'FILING_8K' WHEN '4-NOT SPECIFIED' THEN 'FILING_4' WHEN '5-LOW' THEN 'other' END AS filing_type,
+    o_orderdate::DATE AS filing_date, '/f/C' || o_custkey || '/' || o_orderkey || '.txt' AS file_path, o_custkey || '-23-' || o_orderkey AS accession_number,
+    o_orderdate::DATE + 1 AS download_date, o_orderstatus <> 'O' AS parsed, CASE WHEN o_orderstatus <> 'O' THEN o_orderdate::DATE + 2 END AS parse_date,
+    CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'P' THEN 'partial' END AS parse_status FROM orders)"""
+
+
+def filings_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = load(spark, sf_dir, "orders")
+    kind = F.lit(None).cast("string")
+    for k, v in _TYPES.items():
+        kind = F.when(F.col("o_orderpriority") == k, F.lit(v)).otherwise(kind)
+    day, cust, key = F.to_date("o_orderdate"), F.col("o_custkey").cast("string"), F.col("o_orderkey").cast("string")
+    done = F.col("o_orderstatus") != "O"
+    return o.select(
+        F.col("o_orderkey").cast("bigint").alias("id"), F.concat(F.lit("C"), cust).alias("ticker"), kind.alias("filing_type"), day.alias("filing_date"), F.concat(F.lit("/f/C"), cust, F.lit("/"), key, F.lit(".txt")).alias("file_path"),
+        F.concat(cust, F.lit("-23-"), key).alias("accession_number"), F.date_add(day, 1).alias("download_date"), done.alias("parsed"), F.when(done, F.date_add(day, 2)).alias("parse_date"),
+        F.when(F.col("o_orderstatus") == "F", "success").when(F.col("o_orderstatus") == "P", "partial").alias("parse_status"),
+    )
+
+
+def listing_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that exist: orders with a line item of little discount."""
+    cheap = load(spark, sf_dir, "lineitem").where("l_discount < 0.02").select(F.col("l_orderkey").alias("id"))
+    return filings_v(spark, sf_dir).join(cheap, "id", "left_semi").select("file_path")
+
+
+LISTING_SQL = "listing AS (SELECT file_path FROM filings WHERE id IN (SELECT l_orderkey FROM lineitem WHERE l_discount < 0.02))"
+
+# One page in three has no <DOCUMENT> tag; types, tags and labels vary with the id.
+DUMP_SQL = r"""dump AS (SELECT page_id, '/d/T' || page_id % 7 || '/10-K/0001-24-' || lpad((page_id % 1000000)::VARCHAR, 6, '0') || '.txt' AS file_path,
+  '<SEC-HEADER>x.hdr.sgml : 202401' || lpad((page_id % 35)::VARCHAR, 2, '0') || chr(10) || CASE WHEN page_id % 4 < 3 THEN 'ACCESSION NUMBER:' || chr(9) || '0000-23-' || page_id || chr(10) ELSE '' END
+  || CASE WHEN page_id % 5 = 0 THEN '' ELSE 'FILED AS OF DATE:' || chr(9) || '2023' || lpad((page_id % 13)::VARCHAR, 2, '0') || '15' || chr(10) END
+  || 'COMPANY CONFORMED NAME:  Page Co ' || page_id || ' Inc. ' || chr(10) || 'CENTRAL INDEX KEY: ' || page_id || chr(10) || 'IRS NUMBER:' || chr(10) || 'FISCAL YEAR END:  1231' || chr(10) || 'FORM TYPE: 10-K' || chr(10) || 'SEC ACT:  1934 Act' || chr(10)
+  || CASE WHEN page_id % 3 = 0 THEN html ELSE '<DOCUMENT>' || chr(10) || '<TYPE>10-K' || CASE WHEN page_id % 2 = 0 THEN '/A' ELSE '' END || chr(10) || 'CIK=' || page_id || '<TEXT>' || html || '</TEXT></DOCUMENT>' || chr(10) || '<DOCUMENT><TYPE>8-K ' || chr(10) || '<TEXT>' || url || '</DOCUMENT>' END AS content_text FROM pages)"""
+
+
+def dump_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key, pid = F.col("page_id").cast("string"), F.col("page_id")
+    pad = lambda c, n: F.lpad(c.cast("string"), n, "0")
+    head = F.concat(
+        F.lit("<SEC-HEADER>x.hdr.sgml : 202401"), pad(pid % 35, 2), F.lit("\n"), F.when(pid % 4 < 3, F.concat(F.lit("ACCESSION NUMBER:\t0000-23-"), key, F.lit("\n"))).otherwise(""),
+        F.when(pid % 5 == 0, "").otherwise(F.concat(F.lit("FILED AS OF DATE:\t2023"), pad(pid % 13, 2), F.lit("15\n"))), F.lit("COMPANY CONFORMED NAME:  Page Co "), key, F.lit(" Inc. \nCENTRAL INDEX KEY: "), key,
+        F.lit("\nIRS NUMBER:\nFISCAL YEAR END:  1231\nFORM TYPE: 10-K\nSEC ACT:  1934 Act\n"),
+    )
+    tagged = F.concat(F.lit("<DOCUMENT>\n<TYPE>10-K"), F.when(pid % 2 == 0, "/A").otherwise(""), F.lit("\nCIK="), key, F.lit("<TEXT>"), F.col("html"), F.lit("</TEXT></DOCUMENT>\n<DOCUMENT><TYPE>8-K \n<TEXT>"), F.col("url"), F.lit("</DOCUMENT>"))
+    path = F.concat(F.lit("/d/T"), (pid % 7).cast("string"), F.lit("/10-K/0001-24-"), pad(pid % 1000000, 6), F.lit(".txt"))
+    return load(spark, sf_dir, "pages").select("page_id", path.alias("file_path"), F.concat(head, F.when(pid % 3 == 0, F.col("html")).otherwise(tagged)).alias("content_text"))
+
+
+LINES_SQL = "lines AS (SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) AS line_no, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL)"
+
+
+def lines_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+
+
+# --- catalog: filters, order, limit --------------------------------------------------------------------------
+
+
+@query(f"WITH {FILINGS_SQL} SELECT * FROM filings WHERE filing_type = 'FILING_10Q' AND filing_date BETWEEN DATE '1996-01-01' AND DATE '1997-12-31'")
+def catalog_filter_range(spark, sf_dir):
+    return C.get_filings(filings_v(spark, sf_dir), filing_type="FILING_10Q", start=START, end=END)
+
+
+@query(f"WITH {FILINGS_SQL} SELECT * FROM filings WHERE NOT parsed AND filing_date >= DATE '1996-01-01'")
+def catalog_unparsed(spark, sf_dir):
+    return C.unparsed(filings_v(spark, sf_dir), start=START)
+
+
+@query(f"WITH {FILINGS_SQL} SELECT * FROM filings WHERE parsed ORDER BY filing_date DESC, id LIMIT 100")
+def catalog_topn(spark, sf_dir):
+    return C.get_filings(filings_v(spark, sf_dir), parsed=True, limit=100)
+
+
+@query(f"WITH {FILINGS_SQL}, {LISTING_SQL}, top AS (SELECT * FROM filings ORDER BY filing_date DESC, id LIMIT 500) SELECT * FROM top WHERE file_path IN (SELECT file_path FROM listing)")
+def catalog_existing_only(spark, sf_dir):
+    """The limit comes first, so fewer than 500 rows return."""
+    return C.get_filings(filings_v(spark, sf_dir), limit=500, listing=listing_v(spark, sf_dir))
+
+
+@query(f"WITH {FILINGS_SQL}, {LISTING_SQL} SELECT * FROM filings WHERE file_path IN (SELECT file_path FROM listing) ORDER BY filing_date DESC, id LIMIT 500")
+def catalog_existing_first(spark, sf_dir):
+    return C.get_filings(filings_v(spark, sf_dir), limit=500, listing=listing_v(spark, sf_dir), limit_after_exists=True)
+
+
+@query(f"WITH {FILINGS_SQL} SELECT ticker, count(*) AS n FROM filings GROUP BY ticker ORDER BY n DESC, ticker LIMIT 10")
+def top_tickers(spark, sf_dir):
+    return C.top_tickers(filings_v(spark, sf_dir))
+
+
+# --- aggregates ---------------------------------------------------------------------------------------------
+
+
+@query(f"""WITH {FILINGS_SQL} SELECT 'total' AS measure, '' AS value, count(*) AS n FROM filings UNION ALL SELECT 'ticker', ticker, count(*) FROM filings GROUP BY ticker
+UNION ALL SELECT 'filing_type', filing_type, count(*) FROM filings GROUP BY filing_type UNION ALL SELECT 'parse_status', coalesce(nullif(parse_status, ''), 'unknown'), count(*) FROM filings WHERE parsed GROUP BY 2""")
+def stats_counts(spark, sf_dir):
+    return C.counts(filings_v(spark, sf_dir))
+
+
+@query(f"WITH {FILINGS_SQL} SELECT count(*) AS total, count(*) FILTER (parsed) AS parsed, count(*) FILTER (NOT parsed) AS unparsed, min(filing_date) AS first_date, max(filing_date) AS last_date FROM filings")
+def stats_summary(spark, sf_dir):
+    return C.summary(filings_v(spark, sf_dir))
+
+
+def _stat(name: str, measure: str):
+    sql = f"WITH {FILINGS_SQL} SELECT {{}} AS value, count(*) AS n FROM filings {{}} GROUP BY 1"
+
+    def run(spark, sf_dir):
+        return C.counts(filings_v(spark, sf_dir)).where(F.col("measure") == measure).select("value", "n")
+
+    run.__name__ = name
+    query(sql.format("coalesce(nullif(parse_status, ''), 'unknown')", "WHERE parsed") if measure == "parse_status" else sql.format(measure, ""))(run)
+
+
+_stat("stats_by_ticker", "ticker")
+_stat("stats_by_type", "filing_type")
+_stat("stats_by_status", "parse_status")
+
+
+@query("SELECT count(*) AS total, count(*) FILTER (o_orderstatus = 'F') AS successful, count(*) FILTER (o_orderstatus <> 'F') AS failed FROM orders")
+def batch_summary(spark, sf_dir):
+    return C.batch_summary(filings_v(spark, sf_dir).select(F.col("parse_status").alias("status")))
+
+
+# --- changes ------------------------------------------------------------------------------------------------
+
+# Odd ids are known; ids divisible by 3 are found again with another type and date.
+SPLIT_SQL = f"{FILINGS_SQL}, known AS (SELECT * FROM filings WHERE id % 2 = 1), found AS (SELECT id, ticker, 'FILING_NEW' AS filing_type, filing_date + 7 AS filing_date, file_path, accession_number || '-9' AS accession_number, DATE '2002-01-01' AS download_date FROM filings WHERE id % 3 = 0)"
+
+
+def _known(spark, sf_dir) -> DataFrame:
+    return filings_v(spark, sf_dir).where("id % 2 = 1")
+
+
+def _found(spark, sf_dir) -> DataFrame:
+    rows = filings_v(spark, sf_dir).where("id % 3 = 0")
+    return rows.select("id", "ticker", F.lit("FILING_NEW").alias("filing_type"), F.date_add("filing_date", 7).alias("filing_date"), "file_path", F.concat("accession_number", F.lit("-9")).alias("accession_number"), F.lit(AS_OF).alias("download_date"))
+
+
+@query(f"WITH {SPLIT_SQL} SELECT * FROM found WHERE file_path NOT IN (SELECT file_path FROM known)")
+def sync_new(spark, sf_dir):
+    return C.new_rows(_found(spark, sf_dir), _known(spark, sf_dir), ("file_path",))
+
+
+@query(f"""WITH {SPLIT_SQL} SELECT k.id, k.ticker, coalesce(f.filing_type, k.filing_type) AS filing_type, coalesce(f.filing_date, k.filing_date) AS filing_date, k.file_path, coalesce(f.accession_number, k.accession_number) AS accession_number,
+  coalesce(f.download_date, k.download_date) AS download_date, k.parsed, k.parse_date, k.parse_status FROM known k LEFT JOIN found f USING (ticker, file_path)
+UNION ALL SELECT id, ticker, filing_type, filing_date, file_path, accession_number, download_date, false, NULL, NULL FROM found WHERE file_path NOT IN (SELECT file_path FROM known)""")
+def upsert_update(spark, sf_dir):
+    return C.upsert(_known(spark, sf_dir), _found(spark, sf_dir))
+
+
+@query(f"WITH {SPLIT_SQL} SELECT * FROM known UNION ALL SELECT id, ticker, filing_type, filing_date, file_path, accession_number, download_date, false, NULL, NULL FROM found WHERE file_path NOT IN (SELECT file_path FROM known)")
+def upsert_keep(spark, sf_dir):
+    return C.upsert(_known(spark, sf_dir), _found(spark, sf_dir), update=False)
+
+
+@query(f"WITH {FILINGS_SQL} SELECT a.ticker, a.filing_type, count(b.id) AS n FROM (SELECT DISTINCT ticker, filing_type FROM filings) a LEFT JOIN (SELECT * FROM filings WHERE id % 2 = 0) b USING (ticker, filing_type) GROUP BY ALL")
+def sync_counts(spark, sf_dir):
+    rows = filings_v(spark, sf_dir)
+    return C.sync_counts(rows, C.new_rows(rows, _known(spark, sf_dir), ("ticker", "filing_type", "file_path")))
+
+
+@query(f"""WITH {FILINGS_SQL} SELECT id, ticker, filing_type, filing_date, file_path, accession_number, download_date, parsed OR hit AS parsed, CASE WHEN hit THEN DATE '2002-01-01' ELSE parse_date END AS parse_date,
+  CASE WHEN hit THEN 'failed' ELSE parse_status END AS parse_status FROM (SELECT *, ticker = 'C1' AND accession_number LIKE '1-23-%' AS hit FROM filings)""")
+def mark_parsed(spark, sf_dir):
+    hit = (F.col("ticker") == "C1") & F.col("accession_number").startswith("1-23-")
+    return C.mark(filings_v(spark, sf_dir), hit, True, "failed", AS_OF)
+
+
+@query(f"""WITH {FILINGS_SQL} SELECT id, ticker, filing_type, filing_date, file_path, accession_number, download_date, parsed AND NOT hit AS parsed, CASE WHEN NOT hit THEN parse_date END AS parse_date,
+  CASE WHEN NOT hit THEN parse_status END AS parse_status FROM (SELECT *, id = (SELECT min(id) FROM filings) AS hit FROM filings)""")
+def mark_unparsed(spark, sf_dir):
+    rows = filings_v(spark, sf_dir)
+    return C.mark(rows, C.selected(filing_id=rows.agg(F.min("id")).first()[0]), False)
+
+
+# --- coverage -----------------------------------------------------------------------------------------------
+
+_RANGE = "filing_date BETWEEN DATE '1996-01-01' AND DATE '1997-12-31'"
+
+
+def _periods(unit: str, step: str, keys: str, rows: str = "filings") -> str:
+    return f"""SELECT {keys}, p AS range_start, (p + INTERVAL {step})::DATE - 1 AS range_end FROM (SELECT DISTINCT {keys} FROM {rows}) k, (SELECT unnest(generate_series(date_trunc('{unit}', DATE '1996-01-01'), TIMESTAMP '1997-12-31', INTERVAL {step}))::DATE AS p) c
+  WHERE NOT EXISTS (SELECT 1 FROM {rows} f WHERE {" AND ".join(f"f.{x} = k.{x}" for x in keys.split(", "))} AND {_RANGE} AND date_trunc('{unit}', f.filing_date)::DATE = c.p)"""
+
+
+@query(f"WITH {FILINGS_SQL} {_periods('quarter', '3 MONTH', 'ticker')}")
+def gaps_quarterly(spark, sf_dir):
+    rows = filings_v(spark, sf_dir)
+    return V.missing_periods(rows, ["ticker"], rows, START, END, 3)
+
+
+@query(f"WITH {FILINGS_SQL} {_periods('year', '1 YEAR', 'ticker')}")
+def gaps_annual(spark, sf_dir):
+    rows = filings_v(spark, sf_dir)
+    return V.missing_periods(rows, ["ticker"], rows, START, END, 12)
+
+
+def _day_gaps(keys: str, wanted: str, days: int, lo: str, hi: str) -> str:
+    """dated: (keys, d), distinct."""
+    return f"""SELECT {keys}, DATE '{lo}' AS range_start, min(d) - 1 AS range_end FROM dated GROUP BY {keys} HAVING min(d) > DATE '{lo}'
+UNION ALL SELECT {keys}, max(d) + 1, DATE '{hi}' FROM dated GROUP BY {keys} HAVING max(d) < DATE '{hi}'
+UNION ALL SELECT {keys}, d + 1, nxt - 1 FROM (SELECT *, lead(d) OVER (PARTITION BY {keys} ORDER BY d) AS nxt FROM dated) WHERE nxt - d > {days}
+UNION ALL SELECT DISTINCT {keys}, DATE '{lo}', DATE '{hi}' FROM {wanted} w WHERE NOT EXISTS (SELECT 1 FROM dated x WHERE {" AND ".join(f"x.{k} = w.{k}" for k in keys.split(", "))})"""
+
+
+@query(f"WITH {FILINGS_SQL}, dated AS (SELECT DISTINCT ticker, filing_date AS d FROM filings WHERE {_RANGE}) {_day_gaps('ticker', 'filings', 30, '1996-01-01', '1997-12-31')}")
+def gaps_days(spark, sf_dir):
+    rows = filings_v(spark, sf_dir)
+    return V.day_gaps(rows, ["ticker"], rows, START, END, 30)
+
+
+@query(f"WITH dated AS (SELECT DISTINCT user_id, ts::DATE AS d FROM events WHERE ts::DATE BETWEEN DATE '2024-01-03' AND DATE '2024-01-25') {_day_gaps('user_id', 'events', 3, '2024-01-03', '2024-01-25')}")
+def gaps_days_events(spark, sf_dir):
+    rows = load(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("filing_date"))
+    return V.day_gaps(rows, ["user_id"], rows, dt.date(2024, 1, 3), dt.date(2024, 1, 25), 3)
+
+
+_K = "ticker, filing_type"
+
+
+@query(f"""WITH {FILINGS_SQL}, {LISTING_SQL}, known AS (SELECT ticker, filing_type, filing_date FROM filings WHERE {_RANGE} AND file_path IN (SELECT file_path FROM listing)),
+q AS (SELECT * FROM known WHERE filing_type = 'FILING_10Q'), k AS (SELECT * FROM known WHERE filing_type = 'FILING_10K'), dated AS (SELECT DISTINCT ticker, filing_type, filing_date AS d FROM known WHERE filing_type NOT IN ('FILING_10Q', 'FILING_10K')),
+wanted AS (SELECT DISTINCT ticker, filing_type FROM filings)
+{_periods('quarter', '3 MONTH', _K, 'q')} UNION ALL {_periods('year', '1 YEAR', _K, 'k').replace('(SELECT DISTINCT ' + _K + ' FROM k) k,', '(SELECT DISTINCT ' + _K + ' FROM k) k,')}
+UNION ALL {_day_gaps(_K, '(SELECT * FROM wanted WHERE false)', 30, '1996-01-01', '1997-12-31')}
+UNION ALL SELECT ticker, filing_type, DATE '1996-01-01', DATE '1997-12-31' FROM wanted w WHERE NOT EXISTS (SELECT 1 FROM known x WHERE x.ticker = w.ticker AND x.filing_type = w.filing_type)""")
+def coverage_dispatch(spark, sf_dir):
+    rows = filings_v(spark, sf_dir)
+    return V.missing_ranges(rows, rows, START, END, listing_v(spark, sf_dir))
+
+
+@query("SELECT unnest(['FILING_10K', 'FILING_10Q', 'FILING_4', 'FILING_8K']) AS filing_type")
+def filing_types(spark, sf_dir):
+    return spark.createDataFrame([(t,) for t in V.FILING_TYPES], "filing_type string")
+
+
+# --- header, blocks -----------------------------------------------------------------------------------------
+
+
+def _grab(label: str, shape: str) -> str:
+    return f"nullif(trim(regexp_extract(head, '{label}:{shape}', 1), ' ' || chr(9) || chr(10)), '')"
+
+
+@query(rf"""WITH {DUMP_SQL}, h AS (SELECT page_id, left(content_text, 2000) AS head FROM dump) SELECT page_id, {_grab("ACCESSION NUMBER", r"\s+(\S+)")} AS accession_number,
+  regexp_replace({_grab("FILED AS OF DATE", r"\s+(\S+)")}, '^(\d\d\d\d)(\d\d)(\d\d)$', '\1-\2-\3') AS filed_as_of_date, {_grab("COMPANY CONFORMED NAME", r"\s+([^\n]+)")} AS company, {_grab("IRS NUMBER", r"\s+(\S+)")} AS irs_number,
+  {_grab("FISCAL YEAR END", r"\s+(\S+)")} AS fiscal_year_end, {_grab("FORM TYPE", r"\s+(\S+)")} AS form_type, {_grab("ACT", r"\s+([^\n]+)")} AS act, {_grab("CENTRAL INDEX KEY", r"\s+(\d+)")} AS cik, {_grab("FILM NUMBER", r"\s+(\S+)")} AS film_number FROM h""")
+def header_fields(spark, sf_dir):
+    f = H.header_fields(F.col("content_text"))
+    filer = f["filer"]
+    company, values = filer["company_data"], filer["filing_values"]
+    out = {"accession_number": f["accession_number"], "filed_as_of_date": f["filed_as_of_date"], "company": company["company_conformed_name"], "irs_number": company["irs_number"], "fiscal_year_end": company["fiscal_year_end"], "form_type": f["form_type"], "act": values["act"], "cik": f["cik"], "film_number": values["film_number"]}
+    return dump_v(spark, sf_dir).select("page_id", *[c.alias(n) for n, c in out.items()])
+
+
+@query(rf"""WITH {DUMP_SQL}, w AS (SELECT page_id, left(content_text, 10000) AS t FROM dump) SELECT page_id, try_strptime(coalesce(nullif(regexp_extract(t, 'FILED AS OF DATE:\s*(\d{{8}})', 1), ''), nullif(regexp_extract(t, '<SEC-HEADER>[^:]+:\s*(\d{{8}})', 1), '')), '%Y%m%d')::DATE AS filing_date FROM w""")
+def filing_date(spark, sf_dir):
+    return dump_v(spark, sf_dir).select("page_id", H.filing_date(F.col("content_text")).alias("filing_date"))
+
+
+@query(rf"""WITH {DUMP_SQL} SELECT page_id, try_strptime(regexp_extract(content_text, '<SEC-HEADER>[^:]+:\s*(\d{{8}})', 1), '%Y%m%d')::DATE AS filing_date FROM dump""")
+def scanned_date(spark, sf_dir):
+    """The SEC-HEADER line comes first in every dump."""
+    return dump_v(spark, sf_dir).select("page_id", H.scanned_date(F.col("content_text")).alias("filing_date"))
+
+
+@query(rf"""WITH {DUMP_SQL} SELECT page_id, coalesce(nullif(regexp_extract(left(content_text, 10000), 'ACCESSION[ -]NUMBER:\s*(\d+-\d+-\d+)', 1), ''), regexp_extract(file_path, '(\d+-\d+-\d+)[.]txt', 1)) AS accession_number, regexp_extract(file_path, '^/d/([^/]+)/', 1) AS ticker FROM dump""")
+def accession_ticker(spark, sf_dir):
+    return dump_v(spark, sf_dir).select("page_id", H.accession(F.col("content_text"), F.col("file_path")).alias("accession_number"), H.ticker(F.col("file_path")).alias("ticker"))
+
+
+BLOCKS_SQL = rf"""{DUMP_SQL}, found AS (SELECT page_id, content_text, regexp_extract_all(content_text, '(?s)<DOCUMENT>(.*?)</DOCUMENT>', 1) AS b FROM dump),
+listed AS (SELECT page_id, CASE WHEN len(b) = 0 THEN [content_text] ELSE b END AS b FROM found), each_block AS (SELECT page_id, unnest(range(len(b)))::INT AS doc_ordinal, unnest(b) AS block FROM listed),
+info AS (SELECT page_id, doc_ordinal, CASE WHEN regexp_matches(block, '<TYPE>.*?\n') THEN trim(regexp_extract(block, '<TYPE>(.*?)\n', 1)) ELSE 'UNKNOWN' END AS type_tag,
+  CASE WHEN contains(block, '<TEXT>') THEN regexp_replace(regexp_extract(block, '(?s)<TEXT>(.*?)(?:</TEXT>|\z)', 1), '\n\z', '') ELSE block END AS text_content,
+  coalesce(nullif(regexp_extract(block, '<CIK>(\d+)</CIK>', 1), ''), nullif(regexp_extract(block, 'CENTRAL INDEX KEY:\s+(\d+)', 1), ''), nullif(regexp_extract(block, 'CIK=(\d+)', 1), ''), nullif(regexp_extract(block, 'CIK: (\d+)', 1), '')) AS doc_cik FROM each_block)"""
+
+
+@query(f"WITH {BLOCKS_SQL} SELECT page_id, doc_ordinal, type_tag, doc_cik, length(text_content) AS n, md5(text_content) AS digest FROM info")
+def block_info(spark, sf_dir):
+    blocks = to_blocks(dump_v(spark, sf_dir), Settings(process_all_documents=True), ["page_id"])
+    return blocks.select("page_id", "doc_ordinal", "type_tag", "doc_cik", F.length("text_content").cast("bigint").alias("n"), F.md5(F.col("text_content").cast("binary")).alias("digest"))
+
+
+@query(f"WITH {BLOCKS_SQL} SELECT page_id, doc_ordinal, type_tag FROM info WHERE type_tag IN ('10-K', '10-Q', '8-K', '20-F', 'UNKNOWN')")
+def block_filter(spark, sf_dir):
+    return to_blocks(dump_v(spark, sf_dir), Settings(), ["page_id"]).select("page_id", "doc_ordinal", "type_tag")
+
+
+@query(f"WITH {BLOCKS_SQL} SELECT page_id, string_agg(type_tag, ',' ORDER BY doc_ordinal) AS document_types, arg_min(doc_cik, doc_ordinal) FILTER (doc_cik IS NOT NULL) AS first_cik, count(*) AS n_blocks FROM info GROUP BY page_id")
+def filing_rollup(spark, sf_dir):
+    blocks = to_blocks(dump_v(spark, sf_dir), Settings(process_all_documents=True), ["page_id"])
+    tags = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("doc_ordinal", "type_tag"))), lambda s: s["type_tag"]), ",")
+    return blocks.groupBy("page_id").agg(tags.alias("document_types"), F.min_by("doc_cik", F.when(F.col("doc_cik").isNotNull(), F.col("doc_ordinal"))).alias("first_cik"), F.count("*").alias("n_blocks"))
+
+
+# --- scalar text functions ----------------------------------------------------------------------------------
+
+_STRIP = r"regexp_replace({}, '^\s+|\s+$', '', 'g')"
+CELLS_SQL = rf"""{LINES_SQL}, cut AS (SELECT doc_id, line_no, CASE WHEN contains(line, '|') THEN list_filter(list_transform(string_split(line, '|'), lambda c: {_STRIP.format('c')}), lambda c: c <> '')
+  WHEN regexp_matches({_STRIP.format('line')}, '\s{{2,}}') THEN string_split_regex({_STRIP.format('line')}, '\s{{2,}}') WHEN len(string_split(line, ',')) > 2 THEN list_transform(string_split(line, ','), lambda c: {_STRIP.format('c')}) ELSE [] END AS cells FROM lines)"""
+
+
+@query(f"WITH {CELLS_SQL} SELECT doc_id, line_no::INT AS line_no, len(cells)::INT AS n_cells, array_to_string(cells, '~') AS cells FROM cut")
+def row_split(spark, sf_dir):
+    cells = lines_v(spark, sf_dir).select("doc_id", "line_no", T.split_row(F.col("line")).alias("c"))
+    return cells.select("doc_id", "line_no", F.size("c").alias("n_cells"), F.array_join("c", "~").alias("cells"))
+
+
+@query(rf"WITH {CELLS_SQL} SELECT doc_id, line_no::INT AS line_no, NOT list_bool_and(list_transform(cells, lambda c: regexp_matches(c, '^\s*([+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?)\s*$'))) AS has_header FROM cut WHERE len(cells) > 0")
+def header_row(spark, sf_dir):
+    """Each line's cells as the first of two rows."""
+    cells = lines_v(spark, sf_dir).select("doc_id", "line_no", T.split_row(F.col("line")).alias("c")).where(F.size("c") > 0)
+    return cells.select("doc_id", "line_no", T.has_header_row(F.array("c", "c")).alias("has_header"))
+
+
+@query(r"SELECT doc_id, left(regexp_replace(text, '[^\p{L}\p{N}_-]', '_', 'g'), 50) AS name FROM documents")
+def safe_name(spark, sf_dir):
+    return load(spark, sf_dir, "documents").select("doc_id", T.safe_name(F.col("text")).alias("name"))
+
+
+@query(r"""SELECT doc_id, md5(replace(regexp_replace(regexp_replace(regexp_replace(trim(regexp_replace('[a Top] ' || text || ' [Table of Contents]', '\s+', ' ', 'g')), '\[\w+ Top\]', '', 'g'), '\[Table of Contents\]', '', 'g'), '\[Data_Table_start\].*?\[Data_Table_end\]', '', 'g'), 'Click here to view', '')) AS digest FROM documents WHERE text IS NOT NULL""")
+def clean_section(spark, sf_dir):
+    noisy = F.concat(F.lit("[a Top] "), F.col("text"), F.lit(" [Table of Contents]"))
+    return load(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.md5(T.clean_section(noisy).cast("binary")).alias("digest"))
+
+
+# --- extraction ---------------------------------------------------------------------------------------------
+
+
+def _extracted(frame: DataFrame, keys: list[str], text: str, form: Column) -> DataFrame:
+    return frame.select(*keys, X.extracted(F.col(text), form, Settings()).alias("x"))
+
+
+@query()
+def sections(spark, sf_dir):
+    return X.sections_of(_extracted(load(spark, sf_dir, "pages"), ["page_id"], "html", F.lit("UNKNOWN")), ["page_id"]).select("page_id", "section_number", "title", "level", "parent_title", F.length("content").alias("content_length"))
+
+
+@query(r"SELECT page_id, replace(replace(replace(trim(regexp_replace(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), '\s+', ' ', 'g')), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS title, 1 AS level FROM pages")
+def section_titles(spark, sf_dir):
+    """Top-level titles; each page has one <h1>."""
+    found = X.sections_of(_extracted(load(spark, sf_dir, "pages"), ["page_id"], "html", F.lit("UNKNOWN")), ["page_id"])
+    return found.where("level = 1").select("page_id", "title", "level")
+
+
+# Fixtures, as the supplied pages have no tables and no lines of text tables.
+FIXTURES = [
+    (1, "UNKNOWN", "<p>Revenue by segment</p><table><tr><th colspan=2>Segment</th><th>2023</th></tr><tr><td>A</td><td>x</td><td>1</td></tr></table>"),
+    (2, "UNKNOWN", "<p>Consolidated Balance Sheets</p><table><tr><td>a<td>1<tr><td>b<td>2</table>"),
+    (3, "10-K", '<a id="balance_sheets"></a><table><tr><td>Cash</td><td>1</td></tr><tr><td>Debt</td><td>2</td></tr></table><table><tr><td>z</td><td>9</td></tr><tr><td>y</td></tr></table>'),
+    (4, "UNKNOWN", "CONSOLIDATED BALANCE SHEET\n\n----------  ------  ------\nAssets         100     200\nLiabilities     50      60\n\n\nEnd."),
+    (5, "UNKNOWN", "<p>Item 1. Business</p><p>We make things.</p><p>Item 2. Properties</p><p>We own land.</p>"),
+    (6, "UNKNOWN", "<p>lower intro text</p><p>RISK FACTORS</p><p>Some risk.</p>"),
+]
+
+
+def _fixture(spark) -> DataFrame:
+    return _extracted(spark.createDataFrame(FIXTURES, "id int, form string, html string"), ["id"], "html", F.col("form"))
+
+
+@query("""SELECT * FROM (VALUES (1, 1, 'Revenue by segment', 'all', 2, 3, 'Segment~~2023~A~x~1'), (2, 1, 'Consolidated Balance Sheets', 'keyword', 2, 2, 'a~1~b~2'), (3, 1, 'balance_sheets', 'id', 2, 2, 'Cash~1~Debt~2')) t(id, table_ordinal, table_name, match_tier, n_rows, n_cols, cells)""")
+def html_tables(spark, sf_dir):
+    found = X.tables_of(_fixture(spark), ["id"], "html")
+    return found.select("id", "table_ordinal", "table_name", "match_tier", "n_rows", "n_cols", F.array_join(F.flatten("rows"), "~").alias("cells"))
+
+
+@query("SELECT * FROM (VALUES (4, 1, 'CONSOLIDATED BALANCE SHEET', 3, 'CONSOLIDATED BALANCE SHEET', '----------~------~------~Assets~100~200~Liabilities~50~60')) t(id, table_ordinal, table_name, n_rows, same_name, cells)")
+def text_tables(spark, sf_dir):
+    found = X.tables_of(_fixture(spark), ["id"], "text")
+    return found.select("id", "table_ordinal", "table_name", "n_rows", F.col("table_name").alias("same_name"), F.array_join(F.flatten("rows"), "~").alias("cells"))
+
+
+@query("""SELECT * FROM (VALUES (5, 1, 'Item 1. Business', 2, 'We make things.'), (5, 2, 'Item 2. Properties', 2, 'We own land.'), (6, 1, 'Document Content', 1, 'lower intro text'), (6, 2, 'RISK FACTORS', 1, 'Some risk.')) t(id, section_number, title, level, content)""")
+def sections_fallback(spark, sf_dir):
+    return X.sections_of(_fixture(spark), ["id"]).where("id > 4").select("id", "section_number", "title", "level", "content")
