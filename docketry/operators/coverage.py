@@ -50,7 +50,7 @@ def missing_periods(dates: DataFrame, keys: list[str], wanted: DataFrame, start:
 def day_gaps(dates: DataFrame, keys: list[str], wanted: DataFrame, start: dt.date, end: dt.date, gap_days: int = 30) -> DataFrame:
     """COV-4: before the first date, between dates over `gap_days` apart, and after the last.
 
-    One window per key over its dates; edges come from the same pass, as each row may open a gap after it and
+    `dates` holds wanted keys only. One window per key over its dates; edges come from the same pass, as each row may open a gap after it and
     the first one a gap before it.
     """
     _checked(start, end)
@@ -84,8 +84,8 @@ def missing_ranges(catalog: DataFrame, wanted: DataFrame, start: dt.date, end: d
     _checked(start, end)
     keys = ["ticker", "filing_type"]
     known = existing_only(catalog, listing) if listing is not None else catalog
-    known = known.where(F.col("filing_date").between(F.lit(start), F.lit(end))).select(*keys, "filing_date")
     wanted = wanted.select(*keys).distinct()
+    known = known.where(F.col("filing_date").between(F.lit(start), F.lit(end))).select(*keys, "filing_date").join(wanted, keys, "left_semi")
     some = wanted.join(known.select(*keys).distinct(), keys, "left_semi")
     is_q, is_k = F.col("filing_type") == "FILING_10Q", F.col("filing_type") == "FILING_10K"
     parts = [missing_periods(known.where(is_q), keys, some.where(is_q), start, end, 3), missing_periods(known.where(is_k), keys, some.where(is_k), start, end, 12), day_gaps(known.where(~is_q & ~is_k), keys, some.where(~is_q & ~is_k), start, end, 30)]

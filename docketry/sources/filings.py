@@ -15,7 +15,7 @@ from docketry.operators import extract as X
 
 def decoded(content: Column) -> Column:
     """SRC-3: UTF-8 if valid, else Latin-1; line ends become \\n. (No statistical guess of other encodings.)"""
-    text = F.when(F.is_valid_utf8(content.cast("string")), F.decode(content, F.lit("UTF-8"))).otherwise(F.decode(content, F.lit("ISO-8859-1")))
+    text = F.when(F.is_valid_utf8(content.cast("string")), F.decode(content, "UTF-8")).otherwise(F.decode(content, "ISO-8859-1"))
     return F.regexp_replace(text, "\r\n?", "\n")
 
 
