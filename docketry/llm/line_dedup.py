@@ -109,6 +109,7 @@ def dedup_lines(docs: DataFrame, min_words: int = 3, id_col: str = "doc_id", tex
     raw = keyed.where("text is not null and text <> ''").mapInArrow(split_tokens, TOKENS)
     tokens = scratch.write(raw, "tokens")
     owners = tokens.groupBy("key").agg(F.min(F.struct("id", "th", "pos", "step")).alias("o"), F.max(F.struct("id", "th")).alias("last")).where("o.id <> last.id or o.th <> last.th")
+    owners = scratch.write(owners, "owners")  # a table of its own, so that the join below may split a hot key
     shared = tokens.join(owners.select("key", F.col("o.id").alias("oid"), F.col("o.th").alias("oth"), F.col("o.pos").alias("opos"), F.col("o.step").alias("ostep")), "key")
     later = shared.where("id <> oid or th <> oth").groupBy("id", "th", "pos", "step", "n_words", "oid", "oth", "opos", "ostep").agg(F.lit(1).alias("one"))
     per_doc = later.groupBy("id", "th").agg(F.collect_list(F.struct("pos", "n_words", "oid", "oth", "opos", "step", "ostep")).alias("matches"))
