@@ -122,12 +122,13 @@ def quality_verdicts(docs: DataFrame, spread: float = 3.0, min_docs: int = 200,
 def filter_documents(docs: DataFrame, spread: float = 3.0, min_docs: int = 200, **columns: str) -> DataFrame:
     """The rows of `docs` that pass, with their columns as they were.
 
-    Rows are written once with their measures beside them, so texts are measured once and never shuffled.
+    Slim measures are written for the sketches and measured anew beside the texts for the verdict: that costs
+    CPU time but neither a shuffle nor a second copy of the texts, which would stay on disk for the stages after.
     """
     scratch = Scratch(docs.sparkSession, "quality")
     names = {"id_col": "doc_id", "text_col": "text", "lang_col": "lang", "source_col": "source"} | columns
+    rows = scratch.write(measured(docs, **names), "measures")
+    limits = scratch.write(fences(sketches(rows), spread, min_docs), "limits")
     packed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), *[F.col(names[k]).alias(k) for k in names])
-    kept_too = measured(packed, **{k: k for k in names}, also=("_row",))
-    rows = scratch.write(kept_too, "measures")
-    joined, kept = _judged(rows, scratch.write(fences(sketches(rows), spread, min_docs), "limits"))
+    joined, kept = _judged(measured(packed, **{k: k for k in names}, also=("_row",)), limits)
     return joined.where(kept).select("_row.*")
