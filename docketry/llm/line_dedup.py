@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketry.llm.common import Scratch, let
@@ -101,8 +101,8 @@ def deletions(min_words: int):
     return run
 
 
-def dedup_lines(docs: DataFrame, min_words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with the aligned common blocks removed, plus n_deleted (lines removed)."""
+def dedup_lines(docs: DataFrame, min_words: int = 3, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = "n_deleted") -> DataFrame:
+    """`docs` with the aligned common blocks removed; `count_col`, if any, gets the number of lines removed."""
     scratch = Scratch(docs.sparkSession, "lines")
     text = F.col(text_col).cast("string")
     keyed = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
@@ -115,10 +115,20 @@ def dedup_lines(docs: DataFrame, min_words: int = 3, id_col: str = "doc_id", tex
     per_doc = later.groupBy("id", "th").agg(F.collect_list(F.struct("pos", "n_words", "oid", "oth", "opos", "step", "ostep")).alias("matches"))
     gone = scratch.write(per_doc.mapInArrow(deletions(min_words), "id long, th long, gone array<int>").where("size(gone) > 0"), "gone")
     scratch.drop("tokens")
-    joined = docs.withColumns({"_id": F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)), "_th": F.xxhash64(text)})
-    joined = joined.join(gone.select(F.col("id").alias("_id"), F.col("th").alias("_th"), F.col("gone").alias("_gone")), ["_id", "_th"], "left")
-    rebuilt = let(F.split(text, "\n", -1), lambda ls: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), F.col("_gone")), lambda k: F.get(ls, k)), "\n"))
-    cleaned = F.when(F.col("_gone").isNull(), text).otherwise(rebuilt)
-    names = docs.columns
-    out = [cleaned.alias(c) if c == text_col else (F.when(F.col("_gone").isNull(), F.col(c)).otherwise(F.length(cleaned)).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c)) for c in names]
-    return joined.select(*out, F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).alias("n_deleted"))
+    # the row travels packed, so its columns may have any names
+    packed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("id"), F.xxhash64(text).alias("th"))
+    joined = packed.join(gone, ["id", "th"], "left")
+    old, gone_lines = F.col("row")[text_col].cast("string"), F.col("gone")
+    rebuilt = let(F.split(old, "\n", -1), lambda ls: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), gone_lines), lambda k: F.get(ls, k)), "\n"))
+    cleaned = F.when(gone_lines.isNull(), old).otherwise(rebuilt)
+
+    def out(c: str) -> Column:
+        if c == text_col:
+            return cleaned.alias(c)
+        kept = F.col("row")[c]
+        if c == "n_chars" and c != id_col:
+            kept = F.when(gone_lines.isNull(), kept).otherwise(F.length(cleaned).cast(docs.schema[c].dataType))
+        return kept.alias(c)
+
+    extra = [F.when(gone_lines.isNull(), 0).otherwise(F.size(gone_lines)).alias(count_col)] if count_col else []
+    return joined.select(*[out(c) for c in docs.columns if c != count_col], *extra)

@@ -218,13 +218,16 @@ def near_duplicates(docs: DataFrame, width: int = 3, id_col: str = "doc_id", tex
 def drop_near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` with one row of each component: that of the least id (null last), ties by a hash of the text."""
     scratch, last = Scratch(docs.sparkSession, "neardup"), 2**63 - 1
-    keyed = docs.withColumns({"_id": F.coalesce(F.col(id_col).cast("long"), F.lit(last)), "_th": F.xxhash64(F.col(text_col).cast("string"))})
-    found = near_duplicates(keyed, width, "_id", text_col, ("_th",))
-    per_doc = found.groupBy("root", "doc_id", "_th").agg(F.count("*").alias("n"))
-    best = per_doc.groupBy("root").agg(F.min(F.struct("doc_id", "_th", "n")).alias("k"))
-    keep = scratch.write(best.select(F.col("k.doc_id").alias("_id"), F.col("k._th").alias("_th"), F.col("k.n").alias("n")), "keep")
-    kept = keyed.join(keep.where("n = 1"), ["_id", "_th"], "left_semi")
+    # the row travels packed, so its columns may have any names
+    text = F.col(text_col).cast("string")
+    keyed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(last)).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
+    found = near_duplicates(keyed, width, "id", "text", ("th",))
+    per_doc = found.groupBy("root", "doc_id", "th").agg(F.count("*").alias("n"))
+    best = per_doc.groupBy("root").agg(F.min(F.struct("doc_id", "th", "n")).alias("k"))
+    keep = scratch.write(best.select(F.col("k.doc_id").alias("id"), F.col("k.th").alias("th"), F.col("k.n").alias("n")), "keep")
+    rows = keyed.drop("text")
+    kept = rows.join(keep.where("n = 1"), ["id", "th"], "left_semi")
     repeated = keep.where("n > 1")
     if not repeated.isEmpty():
-        kept = kept.unionByName(keyed.join(repeated, ["_id", "_th"], "left_semi").dropDuplicates(["_id", "_th"]))
-    return kept.drop("_id", "_th")
+        kept = kept.unionByName(rows.join(repeated, ["id", "th"], "left_semi").groupBy("id", "th").agg(F.first("row").alias("row")))
+    return kept.select("row.*")

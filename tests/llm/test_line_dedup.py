@@ -83,5 +83,14 @@ def test_random_against_brute_force(spark):
     check(spark, rows + [rows[3]] * 5)
 
 
+def test_clashing_columns(spark):
+    names = ["id", "th", "key", "row", "gone", "n_deleted", "pos"]
+    rows = [(1, "a b c d\nx y z w", *names), (2, "own line it is\na b c d", *names)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    got = sorted(tuple(r) for r in dedup_lines(docs, count_col=None).collect())
+    assert got == [rows[0], (2, "own line it is", *names)]
+    assert {r.n_deleted for r in dedup_lines(docs).collect()} == {0, 1}
+
+
 def test_empty(spark):
     assert dedup_lines(spark.createDataFrame([], "doc_id long, text string")).collect() == []

@@ -85,5 +85,16 @@ def test_near_duplicates_rows(spark):
     assert Counter((r.doc_id, r.fp & (2**64 - 1), r.component_id) for r in got) == expect
 
 
+def test_one_row_of_each_group_stays(spark):
+    names = ["id", "th", "row", "fp", "root", "n"]
+    base = " ".join(f"w{i}" for i in range(400))
+    rows = [(9, base, *names), (4, base, *names), (4, base, *names), (None, base + " tail", *names), (3, "a clean one", *names), (None, None, *names), (8, "", *names)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    out = S.drop_near_duplicates(docs)
+    assert out.columns == docs.columns
+    assert sorted(tuple(r) for r in out.collect()) == sorted([rows[1], rows[4], rows[6]])
+    assert S.drop_near_duplicates(docs.limit(0)).collect() == []
+
+
 def test_empty(spark):
     assert S.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
