@@ -44,7 +44,8 @@ from docketry.llm.common import Scratch
 HOT = 512
 END = np.uint64(0x9E3779B97F4A7C15)  # the end token's hash in round 1
 START = np.uint64(0)  # the number of the history before a text's first token; n-grams are numbered from 1
-CHUNK = "chunk long, ids binary, known_id binary, sizes binary, held binary, words binary, toks binary"
+CHUNK_NAMES = ["chunk", "docs", "words", "toks", "grams"]
+CHUNK = "chunk long, docs binary, words binary, toks binary, grams binary"
 MESSAGE = "bucket int, chunk long, hot boolean, body binary"
 MESSAGE_NAMES = ["bucket", "chunk", "hot", "body"]
 
@@ -87,8 +88,12 @@ def least_kind(a: np.ndarray) -> np.ndarray:
     return a.astype(np.uint8 if top < 256 else np.uint16 if top < 65536 else np.uint32 if top < 2**32 else np.uint64)
 
 
+def chunk_batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), *[pa.binary()] * 4))], names=CHUNK_NAMES)
+
+
 def chunks(folds: int, chunk_tokens: int):
-    """(doc_id, text) rows -> chunks."""
+    """(doc_id, text) rows -> chunks. Word 0 of a chunk is the end token."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, nth = TaskContext.get().partitionId(), 0
@@ -98,13 +103,13 @@ def chunks(folds: int, chunk_tokens: int):
         def flush() -> pa.RecordBatch:
             nonlocal local, ids, held, sizes, toks, n, nth
             digest = xxhash.xxh3_64_intdigest
-            words = np.fromiter(map(digest, local), np.uint64, len(local))
+            words = np.fromiter((digest(w) for w in local), np.uint64, len(local))
             known = np.fromiter((i is not None for i in ids), np.uint8, len(ids))
             number = np.fromiter((i or 0 for i in ids), np.int64, len(ids))
-            flat = np.concatenate(toks) if toks else np.zeros(0, np.uint32)
-            row = [(task << 32) | nth, squeeze(number), squeeze(known), squeeze(np.asarray(sizes, np.uint32)), squeeze(np.asarray(held, np.uint8)), squeeze(words), squeeze(flat)]
+            docs = squeeze(number, known, np.asarray(sizes, np.uint32), np.asarray(held, np.uint8))
+            row = ((task << 32) | nth, docs, squeeze(np.append(END, words)), squeeze(np.concatenate(toks)), None)
             local, ids, held, sizes, toks, n, nth = {}, [], [], [], [], 0, nth + 1
-            return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, (pa.int64(), *[pa.binary()] * 6))], names=CHUNK_NAMES)
+            return chunk_batch([row])
 
         for batch in batches:
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -115,12 +120,12 @@ def chunks(folds: int, chunk_tokens: int):
                     tok = np.fromiter(map(local.__getitem__, words), np.uint32, len(words))
                 except KeyError:
                     for w in words:
-                        local.setdefault(w, len(local))
+                        local.setdefault(w, len(local) + 1)
                     tok = np.fromiter(map(local.__getitem__, words), np.uint32, len(words))
                 ids.append(i)
                 held.append(zlib.crc32(("" if i is None else str(i)).encode()) % folds == 0)
                 sizes.append(len(words) + 1)
-                toks.append(tok)
+                toks.append(np.append(tok, np.uint32(0)))
                 n += len(words) + 1
         if ids:
             yield flush()
@@ -128,64 +133,65 @@ def chunks(folds: int, chunk_tokens: int):
     return run
 
 
-CHUNK_NAMES = ["chunk", "ids", "known_id", "sizes", "held", "words", "toks"]
-
-
 class Chunk:
-    """A decoded chunk: token hashes with the end tokens put in, and each token's document."""
-
-    def __init__(self, row: dict):
-        self.chunk = row["chunk"]
-        (self.ids,), (self.known_id,), (self.sizes,), (self.held,), (words,), (toks,) = (unsqueeze(row[k]) for k in CHUNK_NAMES[1:])
-        self.sizes = self.sizes.astype(np.int64)
-        ends = np.cumsum(self.sizes) - 1
-        self.first = ends - self.sizes + 1
-        total = int(self.sizes.sum())
-        self.word = np.full(total, END, np.uint64)
-        inner = np.ones(total, bool)
-        inner[ends] = False
-        self.word[inner] = words[toks]
+    """A decoded chunk after some orders: hashes of its words before the first, numbers and counts after it, and
+    each token's n-gram of the last order with that n-gram's number and probability."""
+
+    def __init__(self, row: dict, plan: "Plan"):
+        self.chunk, self.docs = row["chunk"], row["docs"]
+        self.ids, self.known_id, sizes, self.held = unsqueeze(row["docs"])
+        self.sizes = sizes.astype(np.int64)
+        self.first = np.cumsum(self.sizes) - self.sizes
+        self.key, *count = unsqueeze(row["words"])
+        (self.toks,) = unsqueeze(row["toks"])
+        self.key = self.key.astype(np.uint64)
         self.train = np.repeat(self.held == 0, self.sizes)
-        #: state of the recursion after an order: each token's n-gram number, its count and its probability
-        self.history = np.zeros(total, np.uint64)
-        self.p = np.zeros(total)
-
-    def distinct(self):
-        """Distinct (history, word) of the chunk in that order, a token that has each, each token's index, training counts."""
-        by = np.lexsort((self.word, self.history))
-        h, w = self.history[by], self.word[by]
+        self.count = count[0].astype(np.int64) if count else None
+        if row["grams"]:
+            self.gram, number, self.gram_p = unsqueeze(row["grams"])
+            self.gram_number = number.astype(np.uint64)
+        elif count:
+            self.gram, self.gram_number, self.gram_p = self.toks, self.key, plan.unigram(self.count)
+
+    def packed(self, order: int) -> tuple:
+        grams = squeeze(self.gram, least_kind(self.gram_number), self.gram_p) if order > 1 else None
+        return self.chunk, self.docs, squeeze(least_kind(self.key), least_kind(self.count)), squeeze(self.toks), grams
+
+    def distinct(self, order: int):
+        """Distinct (history, word), their lower-order p, each token's index, training counts."""
+        if order == 1:
+            n = np.bincount(self.toks[self.train], minlength=len(self.key))
+            return np.zeros(len(self.key), np.uint64), self.key, np.zeros(len(self.key)), self.toks, n
+        word, history = self.key[self.toks], np.empty(len(self.toks), np.uint64)
+        history[1:] = self.gram_number[self.gram[:-1]]
+        history[self.first] = START
+        by = np.lexsort((word, history))
+        h, w = history[by], word[by]
         new = np.concatenate([np.ones(min(1, len(by)), bool), (h[1:] != h[:-1]) | (w[1:] != w[:-1])])
-        where = np.empty(len(by), np.int64)
+        where = np.empty(len(by), np.uint32)
         where[by] = np.cumsum(new) - 1
         at = by[new]
-        return h[new], w[new], at, where, np.bincount(where[self.train], minlength=len(at))
+        return h[new], w[new], self.gram_p[self.gram[at]], where, np.bincount(where[self.train], minlength=len(at))
 
-    def take(self, order: int, answers: list[dict], plan: "Plan") -> np.ndarray:
-        """Go one order up with the buckets' answers; returns the tokens' counts at this order."""
-        h, w, at, where, _ = self.distinct()
+    def take(self, order: int, answers: list[dict], plan: "Plan") -> None:
+        """Go one order up with the buckets' answers."""
+        h, w, lower, where, _ = self.distinct(order)
         count, number, weight, ratio = np.zeros(len(h), np.int64), np.zeros(len(h), np.uint64), np.zeros(len(h)), np.ones(len(h))
-        told = {(a["bucket"], a["hot"]): unsqueeze(a["body"]) for a in answers}
+        told = {(a["bucket"], a["hot"]): a["body"] for a in answers}
         for bucket, is_hot, mine in slices(*plan.deal(order, h, w)):
-            c, g, *rest = told[bucket, is_hot]
+            c, g, *rest = unsqueeze(told[bucket, is_hot])
             count[mine], number[mine] = c, g
             if order > 1:
                 # the history's alpha, and what a seen count is divided by
-                start, size = runs(h[mine])
+                _, size = runs(h[mine])
                 weight[mine], ratio[mine] = np.repeat(rest[0], size), np.repeat(rest[1], size)
-        d = plan.discount(order)
-        kept = d[np.minimum(count, len(d) - 1)] * count
         if order == 1:
-            p = np.where(count > 0, kept * plan.scale / max(plan.train, 1), plan.unknown)
+            self.key, self.count = number, count
+            self.gram_p = plan.unigram(count)
         else:
-            p = np.where(count > 0, kept * ratio, weight * self.p[at])
-        self.p = p[where]
-        if order == 1:
-            self.word = number[where]
-        following = np.empty(len(where), np.uint64)
-        following[1:] = number[where][:-1]
-        following[self.first] = START
-        self.history = following
-        return count[where]
+            d = plan.discount(order)
+            self.gram_p = np.where(count > 0, d[np.minimum(count, len(d) - 1)] * count * ratio, weight * lower)
+        self.gram, self.gram_number = where, number
 
 
 class Plan:
@@ -196,6 +202,10 @@ class Plan:
         self.hot: dict[int, np.ndarray] = {}
         self.d: dict[int, np.ndarray] = {}
 
+    def unigram(self, count: np.ndarray) -> np.ndarray:
+        d = self.discount(1)
+        return np.where(count > 0, d[np.minimum(count, len(d) - 1)] * count * self.scale / max(self.train, 1), self.unknown)
+
     def discount(self, order: int) -> np.ndarray:
         return np.append(self.d[order], 1.0)  # counts beyond the table are not discounted
 
@@ -241,31 +251,34 @@ def batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.int64(), pa.bool_(), pa.binary()))], names=MESSAGE_NAMES)
 
 
-def raised(row: dict, orders: int, plan: Plan) -> tuple[Chunk, np.ndarray | None]:
-    """A chunk after `orders` rounds, and its tokens' unigram counts."""
-    chunk, known = Chunk(row), None
-    for order in range(1, orders + 1):
-        count = chunk.take(order, [a for a in row["answers"] if a["order"] == order], plan)
-        known = count if order == 1 else known
-    return chunk, known
-
-
 def send(order: int, plan: Plan):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for got in batches:
             for row in got.to_pylist():
-                chunk, _ = raised(row, order - 1, plan)
-                h, w, at, _, n = chunk.distinct()
+                h, w, p, _, n = Chunk(row, plan).distinct(order)
                 out = []
                 for bucket, is_hot, mine in slices(*plan.deal(order, h, w)):
                     start, size = runs(h[mine])
-                    lower, which = np.unique(chunk.p[at[mine]], return_inverse=True)
-                    out.append((bucket, chunk.chunk, is_hot, squeeze(least_kind(h[mine][start]), least_kind(size), least_kind(w[mine]), least_kind(n[mine]), lower, least_kind(which))))
+                    lower, which = np.unique(p[mine], return_inverse=True)
+                    out.append((bucket, row["chunk"], is_hot, squeeze(least_kind(h[mine][start]), least_kind(size), least_kind(w[mine]), least_kind(n[mine]), lower, least_kind(which))))
                 yield batch(out)
 
     return run
 
 
+def move_up(order: int, plan: Plan):
+    """Chunks with their answers -> chunks after that order; what it no longer needs stays behind."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for got in batches:
+            for row in got.to_pylist():
+                chunk = Chunk(row, plan)
+                chunk.take(order, row["answers"], plan)
+                yield chunk_batch([chunk.packed(order)])
+
+    return run
+
+
 def gathered(group: pa.Table):
     """The messages of a bucket: distinct (history, word) with summed counts and lower-order p, and each message's indices."""
     rows, parts = group.to_pylist(), []
@@ -360,10 +373,8 @@ def answer(order: int, d: np.ndarray, hot: dict[int, tuple], buckets: int):
 
 def chunk_sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for got in batches:
-        tokens = train = 0
-        for s, h in zip(got.column(0).to_pylist(), got.column(1).to_pylist()):
-            (s,), (h,) = unsqueeze(s), unsqueeze(h)
-            tokens, train = tokens + int(s.sum()), train + int(s[h == 0].sum())
+        parts = [unsqueeze(x) for x in got.column(0).to_pylist()]
+        tokens, train = (sum(int(s[keep(held)].sum()) for _, _, s, held in parts) for keep in (lambda h: h >= 0, lambda h: h == 0))
         yield pa.RecordBatch.from_arrays([pa.array([tokens]), pa.array([train])], names=["tokens", "train"])
 
 
@@ -374,11 +385,12 @@ def score(order: int, plan: Plan):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for got in batches:
             for row in got.to_pylist():
-                chunk, known = raised(row, order, plan)
-                base = np.log10((known + 0.1) / (plan.train + 0.1 * (plan.types + 1)))
-                add = lambda x: np.add.reduceat(x, chunk.first)
-                ids = pa.array(chunk.ids, mask=chunk.known_id == 0)
-                columns = [ids, pa.array(chunk.held == 1), pa.array(chunk.sizes), pa.array(add((known > 0).astype(np.int64))), pa.array(np.full(len(chunk.sizes), plan.train, np.int64)), pa.array(add(base)), pa.array(add(np.log10(chunk.p)))]
+                chunk = Chunk(row, plan)
+                chunk.take(order, row["answers"], plan)
+                add = lambda x, chunk=chunk: np.add.reduceat(x, chunk.first)
+                base = np.log10((chunk.count + 0.1) / (plan.train + 0.1 * (plan.types + 1)))[chunk.toks]
+                known = (chunk.count > 0).astype(np.int64)[chunk.toks]
+                columns = [pa.array(chunk.ids, mask=chunk.known_id == 0), pa.array(chunk.held == 1), pa.array(chunk.sizes), pa.array(add(known)), pa.array(np.full(len(chunk.sizes), plan.train, np.int64)), pa.array(add(base)), pa.array(add(np.log10(chunk.gram_p)[chunk.gram]))]
                 yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in SCORES.split(", ")])
 
     return run
@@ -387,34 +399,27 @@ def score(order: int, plan: Plan):
 class Katz:
     """Trains on the documents whose crc32(id) is not divisible by `folds`, and scores all."""
 
-    def __init__(self, docs: DataFrame, order: int = 2, folds: int = 10, most: int = 5, chunk_tokens: int = 1_500_000, bucket_grams: int = 2_000_000, id_col: str = "doc_id", text_col: str = "text"):
+    def __init__(self, docs: DataFrame, order: int = 2, folds: int = 10, most: int = 5, chunk_tokens: int = 4_500_000, bucket_grams: int = 2_000_000, id_col: str = "doc_id", text_col: str = "text"):
         self.scratch, self.order, self.most = Scratch(docs.sparkSession, "katz"), order, most
         slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-        self.chunks = self.scratch.write(slim.mapInArrow(chunks(folds, chunk_tokens), CHUNK), "chunks")
-        totals = self.chunks.select("sizes", "held").mapInArrow(chunk_sizes, "tokens long, train long").agg(F.sum("tokens"), F.sum("train")).first()
+        self.chunks = self.scratch.write(slim.mapInArrow(chunks(folds, chunk_tokens), CHUNK), "chunks0")
+        totals = self.chunks.select("docs").mapInArrow(chunk_sizes, "tokens long, train long").agg(F.sum("tokens"), F.sum("train")).first()
         self.plan = Plan(max(1, -(-int(totals[0] or 0) // bucket_grams)), int(totals[1] or 0))
         self.tables: dict[int, DataFrame] = {}
-        self.answers: dict[int, DataFrame] = {}
         for k in range(1, order + 1):
             self._round(k)
 
-    def _with_answers(self) -> DataFrame:
-        """Chunks, each with the buckets' answers of all orders so far."""
-        none = F.array().cast("array<struct<order:int,bucket:int,hot:boolean,body:binary>>")
-        if not self.answers:
-            return self.chunks.withColumn("answers", none)
-        told = None
-        for k, df in self.answers.items():
-            part = df.select("chunk", F.struct(F.lit(k).alias("order"), "bucket", "hot", "body").alias("a"))
-            told = part if told is None else told.unionByName(part)
-        told = told.groupBy("chunk").agg(F.collect_list("a").alias("answers"))
+    def _answered(self, answers: DataFrame) -> DataFrame:
+        """Chunks, each with what the buckets answered."""
+        told = answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "hot", "body")).alias("answers"))
         return self.chunks.join(told, "chunk")
 
     def _round(self, k: int) -> None:
         plan, scratch, most = self.plan, self.scratch, self.most
-        sent = scratch.write(self._with_answers().mapInArrow(send(k, plan), MESSAGE), f"sent{k}")
+        sent = scratch.write(self.chunks.mapInArrow(send(k, plan), MESSAGE), f"sent{k}")
         table = sent.groupBy("bucket").applyInArrow(count(), "bucket int, history long, word long, n long")
         self.tables[k] = table = scratch.write(table, f"order={k}")
+        scratch.tidy()
         coc = {int(r.n): int(r.k) for r in table.where(F.col("n") <= most + 1).groupBy("n").agg(F.count("*").alias("k")).collect()}
         plan.d[k] = discounts(coc, most)
         d, hot = plan.discount(k), {}
@@ -429,11 +434,15 @@ class Katz:
             summed = sums.groupBy("history").agg(*[F.sum(c).alias(c) for c in ("c", "kept", "low")])
             hot = {int(np.int64(r.history).view(np.uint64)): (r.c, r.kept, r.low) for r in summed.collect()}  # at most HOT + 1 rows
         told = sent.groupBy("bucket").applyInArrow(answer(k, d, hot, plan.buckets), MESSAGE)
-        self.answers[k] = scratch.write(told, f"answers{k}")
+        self.answers = scratch.write(told, f"answers{k}")
         if k < self.order:
             plan.hot[k + 1] = self._hot_histories(k, sent)
         scratch.drop(f"sent{k}")
         scratch.tidy()
+        if k < self.order:
+            self.chunks = scratch.write(self._answered(self.answers).mapInArrow(move_up(k, plan), CHUNK), f"chunks{k}")
+            scratch.drop(f"chunks{k - 1}", f"answers{k}")
+            scratch.tidy()
 
     def _hot_histories(self, k: int, sent: DataFrame) -> np.ndarray:
         """Numbers of the n-grams with over 1/HOT of all training tokens, at most HOT, and of the start mark."""
@@ -441,4 +450,4 @@ class Katz:
         return np.asarray([0, *(r.number for r in found.collect())], np.uint64)
 
     def scores(self) -> DataFrame:
-        return self._with_answers().mapInArrow(score(self.order, self.plan), SCORES)
+        return self._answered(self.answers).mapInArrow(score(self.order, self.plan), SCORES)
