@@ -26,8 +26,12 @@ def shared_dir(spark: SparkSession) -> str:
 class Scratch:
     """Written tables that cut lineage: lost executors re-read files instead of recomputing whole stages."""
 
+    #: Folders of this process's tables, oldest first. Results read them lazily, so only callers know when to release them.
+    opened: list[str] = []
+
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        Scratch.opened.append(self.root)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -49,8 +53,19 @@ class Scratch:
     def drop(self, *names: str) -> None:
         """Free a table that nothing reads any more."""
         for name in names:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            _delete(self.spark, self.path(name))
+
+    @staticmethod
+    def release(spark: SparkSession, since: int = 0) -> None:
+        """Free the tables opened since then; for callers whose results are written."""
+        for root in Scratch.opened[since:]:
+            _delete(spark, root)
+        del Scratch.opened[since:]
+
+
+def _delete(spark: SparkSession, at: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
