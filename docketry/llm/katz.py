@@ -6,7 +6,8 @@ Model. For a history h seen in training and a word w,
 down to p(w) = d(c) c(w) / N, the mass that discounting frees there going to one unknown word. d is Katz's
 Good-Turing discount for counts up to `most` (1 above it, and where the counts of counts do not allow it);
 alpha(h) = (1 - sum of seen p(w | h)) / (1 - sum of the same words' lower-order p), so each p(. | h) sums to 1.
-If a history's seen words leave no lower-order mass, its seen part is rescaled to 1 and alpha is 0.
+Where discounting frees nothing after a history (all its counts are large), one more token stands in its
+denominator, so that no text has probability 0. If a history's seen words leave no lower-order mass, its seen part is rescaled to 1 and alpha is 0.
 
 Distribution. Documents are read once and packed into chunks (at most `chunk_tokens` tokens, or one longer
 document): local word numbers and each chunk's own dictionary. Every later pass works on chunks, and a chunk
@@ -324,6 +325,7 @@ def hot_sums(d: np.ndarray):
 def weights(c: np.ndarray, kept: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """alpha of each history and the factor that turns a discounted count into a probability."""
     free = 1.0 - low
+    c = np.where((c > 0) & (kept >= c * (1 - 1e-12)), c + 1, c)
     with np.errstate(divide="ignore", invalid="ignore"):
         back = (free > 1e-12) & (c > 0)
         ratio = np.where(c > 0, np.where(back, 1.0 / c, 1.0 / kept), 0.0)

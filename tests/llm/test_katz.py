@@ -60,6 +60,7 @@ class Brute:
         if (h, o) not in self.cache:
             seen = {x: c for (g, x), c in self.n[o].items() if g == h}
             c, kept, below = sum(seen.values()), sum(self.disc(o, c) for c in seen.values()), sum(low(x) for x in seen)
+            c += c > 0 and kept >= c * (1 - 1e-12)
             self.cache[h, o] = seen, c, kept, below
         seen, c, kept, below = self.cache[h, o]
         if not c:
@@ -74,6 +75,8 @@ def corpus(seed=3, n=120):
     rng = random.Random(seed)
     words = [f"w{int(rng.paretovariate(0.6)) % 300}" for _ in range(4000)]
     rows = [(k, " ".join(rng.choice(words) for _ in range(rng.randint(0, 60)))) for k in range(n)]
+    often = next(k for k in range(1000, 2000) if held(k))
+    rows += [(600 + k, "fixed pair") for k in range(40)] + [(often, "fixed other"), (often + 5000, "fixed never")]
     return rows + [(None, None), (None, "W1 w2"), (500, ""), (501, "x" * 5000), (502, "w1 w1 w1 É\x0bw2\x1cw3")] + [rows[4]] * 30
 
 
@@ -93,6 +96,7 @@ def test_scores_match_plain_dictionaries(spark, order):
         base = sum(math.log10((c + 0.1) / (b.total + 0.1 * (types + 1))) for c in known)
         want[i, held(i), len(ts), sum(c > 0 for c in known), b.total, round(base, 6), round(sum(math.log10(b.p(ts, k, order)) for k in range(len(ts))), 6)] += 1
     assert got == want
+    assert all(math.isfinite(k[-1]) for k in got)
     # exactly normalised: all words and the unknown one sum to 1 after any history
     if order == 2:
         vocabulary = [w for _, w in b.n[1]] + ["never seen"]
