@@ -149,14 +149,16 @@ def posting_links(refined: bool, dense: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        enough = 200_000
 
         def flush(last: bool):
-            nonlocal held
+            nonlocal held, enough
             if not held:
                 return None
             k, p, f = (np.concatenate(x) for x in zip(*held))
             cut = len(k) if last else int(np.flatnonzero((k == k[-1]) & (p == p[-1]))[0])
             held = [(k[cut:], p[cut:], f[cut:])] if cut < len(k) else []
+            enough = max(200_000, 2 * (len(k) - cut))  # a long posting is not put together again for every batch
             found = solve(k[:cut], p[:cut], f[:cut]) if cut else []
             if not found:
                 return None
@@ -166,7 +168,7 @@ def posting_links(refined: bool, dense: int):
         for batch in batches:
             if batch.num_rows:
                 held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy().view(np.uint64)))
-            if sum(len(x[0]) for x in held) >= 200_000:
+            if sum(len(x[0]) for x in held) >= enough:
                 if (out := flush(False)) is not None:
                     yield out
         if (out := flush(True)) is not None:
