@@ -46,7 +46,7 @@ def grid(table: Node) -> list[list[str]]:
         for cell in tr.walk():
             if cell.tag in ("td", "th"):
                 try:
-                    span = int(cell.attrs.get("colspan") or 1) if "colspan" in cell.attrs else 1
+                    span = int(cell.attrs.get("colspan", 1) or "")
                 except ValueError:
                     return []
                 cells += [re.sub(r"\s+", " ", cell.get_text()), *[""] * (span - 1)]
