@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Filing types by name.
@@ -33,45 +33,57 @@ def _checked(start: dt.date, end: dt.date) -> None:
         raise ValueError("the range starts after its end")
 
 
-def missing_periods(dates: DataFrame, keys: list[str], wanted: DataFrame, start: dt.date, end: dt.date, months: int) -> DataFrame:
-    """COV-2 (3 months) and COV-3 (12): whole calendar periods touched by the range without a date.
+def _dates(dates: DataFrame, keys: list[str], wanted: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
+    """One row per wanted key: its distinct dates in range, sorted, as array `d`.
 
-    `wanted` has the keys to report on, so that keys without any date are whole gaps.
+    The only shuffle of filings in this module. It combines on the map side, and an array is no longer than the
+    range has days, so neither a busy key nor a long history makes a large group.
     """
     _checked(start, end)
+    inside = dates.where(F.col("filing_date").between(F.lit(start), F.lit(end)))
+    found = inside.groupBy(*keys).agg(F.array_sort(F.collect_set("filing_date")).alias("d"))
+    return wanted.select(*keys).distinct().join(found, keys, "left").withColumn("d", F.coalesce("d", F.array().cast("array<date>")))
+
+
+def _span(first: Column, last: Column) -> Column:
+    return F.struct(first.alias("range_start"), last.alias("range_end"))
+
+
+def _periods(d: Column, start: dt.date, end: dt.date, months: int) -> Column:
     unit = "QUARTER" if months == 3 else "YEAR"
-    first = F.to_date(F.date_trunc(unit, F.lit(start)))
-    step = F.expr(f"interval {months} months")
-    calendar = wanted.select(*keys).distinct().withColumn("range_start", F.explode(F.sequence(first, F.lit(end), step)))
-    held = dates.where(F.col("filing_date").between(F.lit(start), F.lit(end))).select(*keys, F.to_date(F.date_trunc(unit, "filing_date")).alias("range_start")).distinct()
-    return calendar.join(held, [*keys, "range_start"], "left_anti").select(*keys, "range_start", F.date_sub(F.add_months("range_start", months), 1).alias("range_end"))
+    opening = lambda x: F.to_date(F.date_trunc(unit, x))
+    calendar = F.sequence(opening(F.lit(start)), F.lit(end), F.expr(f"interval {months} months"))
+    missing = F.array_except(calendar, F.transform(d, opening))
+    return F.transform(missing, lambda p: _span(p, F.date_sub(F.add_months(p, months), 1)))
 
 
-def day_gaps(dates: DataFrame, keys: list[str], wanted: DataFrame, start: dt.date, end: dt.date, gap_days: int = 30) -> DataFrame:
-    """COV-4: before the first date, between dates over `gap_days` apart, and after the last.
+def _gaps(d: Column, start: dt.date, end: dt.date, gap_days: int) -> Column:
+    """Around the dates: the day before the range stands first, the day after it last; edges have no threshold."""
+    before = F.concat(F.array(F.date_sub(F.lit(start), 1)), d)
+    after = F.concat(d, F.array(F.date_add(F.lit(end), 1)))
+    pairs = F.zip_with(before, after, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    least = lambda k: F.when((k == 0) | (k == F.size(d)), F.lit(1)).otherwise(F.lit(gap_days))
+    open_ = F.filter(pairs, lambda p, k: F.datediff(p["b"], p["a"]) > least(k))
+    return F.transform(open_, lambda p: _span(F.date_add(p["a"], 1), F.date_sub(p["b"], 1)))
+
+
+def _exploded(rows: DataFrame, keys: list[str], ranges: Column) -> DataFrame:
+    return rows.select(*keys, F.explode(ranges).alias("r")).select(*keys, "r.range_start", "r.range_end")
+
 
-    `dates` holds wanted keys only. One window per key over its dates; edges come from the same pass, as each row may open a gap after it and
-    the first one a gap before it.
+def missing_periods(dates: DataFrame, keys: list[str], wanted: DataFrame, start: dt.date, end: dt.date, months: int) -> DataFrame:
+    """COV-2 (3 months) and COV-3 (12): whole calendar periods touched by the range without a date.
+
+    `wanted` has the keys to report on, so that a key without any date lacks every period.
     """
-    _checked(start, end)
-    if gap_days < 1:
-        raise ValueError("gap_days must be at least 1")
-    lo, hi = F.lit(start), F.lit(end)
-    inside = dates.where(F.col("filing_date").between(lo, hi)).select(*keys, F.col("filing_date").alias("d")).distinct()
-    order = Window.partitionBy(*keys).orderBy("d")
-    seen = inside.withColumns({"before": F.lag("d").over(order), "after": F.lead("d").over(order)})
-    span = lambda a, b: F.struct(a.alias("range_start"), b.alias("range_end"))
-    following = F.date_add("d", 1)
-    ranges = F.array(
-        F.when(F.col("before").isNull() & (F.col("d") > lo), span(lo, F.date_sub("d", 1))),
-        F.when(F.col("after").isNull() & (F.col("d") < hi), span(following, hi)).when(F.datediff("after", "d") > gap_days, span(following, F.date_sub("after", 1))),
-    )
-    found = seen.select(*keys, F.explode(F.array_compact(ranges)).alias("r")).select(*keys, "r.range_start", "r.range_end")
-    return found.unionByName(_untouched(wanted, inside, keys, lo, hi))
+    return _exploded(_dates(dates, keys, wanted, start, end), keys, _periods(F.col("d"), start, end, months))
 
 
-def _untouched(wanted: DataFrame, inside: DataFrame, keys: list[str], lo: Column, hi: Column) -> DataFrame:
-    return wanted.select(*keys).distinct().join(inside.select(*keys).distinct(), keys, "left_anti").select(*keys, lo.alias("range_start"), hi.alias("range_end"))
+def day_gaps(dates: DataFrame, keys: list[str], wanted: DataFrame, start: dt.date, end: dt.date, gap_days: int = 30) -> DataFrame:
+    """COV-4: before the first date, between dates over `gap_days` apart, and after the last."""
+    if gap_days < 1:
+        raise ValueError("gap_days must be at least 1")
+    return _exploded(_dates(dates, keys, wanted, start, end), keys, _gaps(F.col("d"), start, end, gap_days))
 
 
 def missing_ranges(catalog: DataFrame, wanted: DataFrame, start: dt.date, end: dt.date, listing: DataFrame | None = None) -> DataFrame:
@@ -81,16 +93,11 @@ def missing_ranges(catalog: DataFrame, wanted: DataFrame, start: dt.date, end: d
     """
     from docketry.operators.catalog import existing_only
 
-    _checked(start, end)
-    keys = ["ticker", "filing_type"]
+    keys, d, kind = ["ticker", "filing_type"], F.col("d"), F.col("filing_type")
     known = existing_only(catalog, listing) if listing is not None else catalog
-    wanted = wanted.select(*keys).distinct()
-    known = known.where(F.col("filing_date").between(F.lit(start), F.lit(end))).select(*keys, "filing_date").join(wanted, keys, "left_semi")
-    some = wanted.join(known.select(*keys).distinct(), keys, "left_semi")
-    is_q, is_k = F.col("filing_type") == "FILING_10Q", F.col("filing_type") == "FILING_10K"
-    parts = [missing_periods(known.where(is_q), keys, some.where(is_q), start, end, 3), missing_periods(known.where(is_k), keys, some.where(is_k), start, end, 12), day_gaps(known.where(~is_q & ~is_k), keys, some.where(~is_q & ~is_k), start, end, 30)]
-    whole = _untouched(wanted, known, keys, F.lit(start), F.lit(end))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(whole)
+    whole = F.array(_span(F.lit(start), F.lit(end)))
+    ranges = F.when(F.size(d) == 0, whole).when(kind == "FILING_10Q", _periods(d, start, end, 3)).when(kind == "FILING_10K", _periods(d, start, end, 12)).otherwise(_gaps(d, start, end, 30))
+    return _exploded(_dates(known, keys, wanted, start, end), keys, ranges)
 
 
 def fetch(catalog, root: str, ticker: str, filing_type: str, start: dt.date, end: dt.date, as_of: dt.date, fetcher=None) -> tuple[DataFrame, DataFrame]:

@@ -73,6 +73,11 @@ def test_catalog_plans(spark):
     assert "o_totalprice" not in text
 
 
+def test_coverage_shuffles_filings_once(spark):
+    text = plan(Q.QUERIES["gaps_days"](spark, E.SMOKE))
+    assert "Window" not in text and text.count("Scan parquet") == 2 and text.count("Exchange hashpartitioning") <= 3
+
+
 def test_settings(tmp_path):
     (tmp_path / "c.toml").write_text('[docketry]\nprocess_all_documents = true\ndefault_ticker = "ZZZ"\n[docketry.profiles."10-K"]\na = ["x", "y"]\n')
     s = load_settings(f"{tmp_path}/c.toml", default_ticker=None, process_all_documents=False)
