@@ -7,6 +7,7 @@ place, so a change costs its own size; `compact` folds the logs into a new folde
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -176,13 +177,14 @@ class Catalog:
         listed = tree(self.spark, root)
         listed = listed.where(F.col("ticker").isin(*tickers)) if tickers else listed
         fresh = new_rows(listed, self.filings(), ("ticker", "filing_type", "file_path"))
-        paths = fresh.select("ticker", "filing_type", "file_path").cache()
-        found = described(read_text(self.spark, root + "/*/*/*").join(paths, "file_path"), as_of).cache()
-        result = sync_counts(listed, found).cache()
-        result.count()
-        if not found.isEmpty():
-            self.append(found)
-        return result
+        paths = fresh.select("ticker", "filing_type", "file_path")
+        found = described(read_text(self.spark, root + "/*/*/*").join(paths, "file_path"), as_of)
+        # staged first: the log may then grow without changing what was found, even if executors are lost
+        staged = f"{self.location}/staged/{uuid.uuid4().hex}"
+        found.write.parquet(staged)
+        found = self.spark.read.schema(found.schema).parquet(staged)
+        self.append(found)
+        return sync_counts(listed, found)
 
     def set_status(self, hit: Column, parsed: bool, status: str | None = "success", as_of: dt.date | None = None) -> bool:
         """DML-5 and 6; False if no row is hit."""
