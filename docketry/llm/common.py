@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,6 +50,7 @@ class Scratch:
         """Let Spark's cleaner free the shuffle files of finished jobs now, not at some later collection."""
         gc.collect()
         self.spark._jvm.System.gc()
+        time.sleep(0.5)  # the cleaner works in the background
 
     def drop(self, *names: str) -> None:
         """Free a table that nothing reads any more."""

@@ -297,15 +297,58 @@ def gathered(group: pa.Table):
     return rows, [len(x[0]) for x in parts], h[at], w[at], total, p[at], where
 
 
-def count():
+MERGED = "bucket int, chunks binary, grams binary, places binary"
+
+
+def merge():
+    """The messages of a bucket -> one row: its n-grams added up, and each message's places among them."""
+
     def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        _, _, h, w, n, _, _ = gathered(group)
-        seen = n > 0
-        return pa.table({"bucket": pa.array(np.full(int(seen.sum()), key[0].as_py(), np.int32)), "history": h[seen].view(np.int64), "word": w[seen].view(np.int64), "n": n[seen]})
+        rows, sizes, h, w, n, p, where = gathered(group)
+        start, size = runs(h)
+        lower, which = np.unique(p, return_inverse=True)
+        senders = squeeze(np.asarray([r["chunk"] for r in rows], np.int64), np.asarray([r["hot"] for r in rows], np.uint8), np.asarray(sizes, np.int64))
+        grams = squeeze(least_kind(h[start]), least_kind(size), least_kind(w), least_kind(n), lower, least_kind(which))
+        return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()), "chunks": [senders], "grams": [grams], "places": [squeeze(least_kind(where))]})
 
     return run
 
 
+class Bucket:
+    """A merged bucket, decoded."""
+
+    def __init__(self, row: dict):
+        self.number = row["bucket"]
+        h, size, w, n, lower, which = unsqueeze(row["grams"])
+        self.h, self.w, self.n, self.p = np.repeat(h.astype(np.uint64), size.astype(np.int64)), w.astype(np.uint64), n.astype(np.int64), lower[which]
+        self.row = row
+
+    def messages(self) -> Iterator[tuple[int, bool, np.ndarray]]:
+        chunk, hot, size = unsqueeze(self.row["chunks"])
+        (where,) = unsqueeze(self.row["places"])
+        at = 0
+        for c, is_hot, m in zip(chunk.tolist(), hot.tolist(), size.tolist()):
+            yield c, bool(is_hot), where[at : at + m]
+            at += m
+
+
+def each_bucket(make):
+    """Map-only pass over merged buckets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for got in batches:
+            for row in got.to_pylist():
+                yield make(Bucket(row))
+
+    return run
+
+
+def count(b: Bucket) -> pa.RecordBatch:
+    seen = b.n > 0
+    columns = [np.full(int(seen.sum()), b.number, np.int32), b.h[seen].view(np.int64), b.w[seen].view(np.int64), b.n[seen]]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["bucket", "history", "word", "n"])
+
+
 def by_history(h, n, p, d):
     """Starts of the histories and their sums: counts, discounted counts, lower-order probabilities of seen words."""
     start, size = runs(h)
@@ -313,13 +356,14 @@ def by_history(h, n, p, d):
     return start, size, *(np.add.reduceat(x, start) if len(start) else np.zeros(0) for x in (n.astype(float), kept, np.where(n > 0, p, 0.0)))
 
 
-def hot_sums(d: np.ndarray):
-    def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        _, _, h, _, n, p, _ = gathered(group)
-        start, _, c, kept, low = by_history(h, n, p, d)
-        return pa.table({"history": h[start].view(np.int64), "c": c, "kept": kept, "low": low})
+def hot_sums(d: np.ndarray, hot: np.ndarray):
+    def make(b: Bucket) -> pa.RecordBatch:
+        start, _, c, kept, low = by_history(b.h, b.n, b.p, d)
+        mine = np.isin(b.h[start], hot)
+        columns = [b.h[start][mine].view(np.int64), c[mine], kept[mine], low[mine]]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["history", "c", "kept", "low"])
 
-    return run
+    return make
 
 
 def weights(c: np.ndarray, kept: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -341,36 +385,31 @@ def numbers(n: np.ndarray, bucket: int, buckets: int) -> np.ndarray:
 
 
 def frequent(buckets: int, least: int):
-    def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        n = gathered(group)[4]
-        return pa.table({"number": numbers(n, key[0].as_py(), buckets)[n > least].view(np.int64)})
+    def make(b: Bucket) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(numbers(b.n, b.number, buckets)[b.n > least].view(np.int64))], names=["number"])
 
-    return run
+    return make
 
 
 def answer(order: int, d: np.ndarray, hot: dict[int, tuple], buckets: int):
-    def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        rows, sizes, h, _, n, p, where = gathered(group)
-        bucket = key[0].as_py()
-        start, size, c, kept, low = by_history(h, n, p, d)
+    def make(b: Bucket) -> pa.RecordBatch:
+        start, size, c, kept, low = by_history(b.h, b.n, b.p, d)
         if order > 1 and hot:
-            for k in np.flatnonzero(np.isin(h[start], np.asarray(list(hot), np.uint64))):
-                c[k], kept[k], low[k] = hot[int(h[start[k]])]
+            for k in np.flatnonzero(np.isin(b.h[start], np.asarray(list(hot), np.uint64))):
+                c[k], kept[k], low[k] = hot[int(b.h[start[k]])]
         alpha, ratio = weights(c, kept, low)
-        number = numbers(n, bucket, buckets)
+        number = numbers(b.n, b.number, buckets)
         run_of = np.repeat(np.arange(len(start)), size)
-        out, at = [], 0
-        for r, m in zip(rows, sizes):
-            mine = where[at : at + m]
-            at += m
-            arrays = [least_kind(n[mine]), least_kind(number[mine])]
+        out = []
+        for chunk, is_hot, mine in b.messages():
+            arrays = [least_kind(b.n[mine]), least_kind(number[mine])]
             if order > 1:
-                heads = run_of[mine][runs(h[mine])[0]]
+                heads = run_of[mine][runs(b.h[mine])[0]]
                 arrays += [alpha[heads], ratio[heads]]
-            out.append((bucket, r["chunk"], r["hot"], squeeze(*arrays)))
-        return pa.Table.from_batches([batch(out)])
+            out.append((b.number, chunk, is_hot, squeeze(*arrays)))
+        return batch(out)
 
-    return run
+    return make
 
 
 def chunk_sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -401,7 +440,7 @@ def score(order: int, plan: Plan):
 class Katz:
     """Trains on the documents whose crc32(id) is not divisible by `folds`, and scores all."""
 
-    def __init__(self, docs: DataFrame, order: int = 2, folds: int = 10, most: int = 5, chunk_tokens: int = 4_500_000, bucket_grams: int = 2_000_000, id_col: str = "doc_id", text_col: str = "text"):
+    def __init__(self, docs: DataFrame, order: int = 2, folds: int = 10, most: int = 5, chunk_tokens: int = 3_000_000, bucket_grams: int = 2_000_000, id_col: str = "doc_id", text_col: str = "text"):
         self.scratch, self.order, self.most = Scratch(docs.sparkSession, "katz"), order, most
         slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
         self.chunks = self.scratch.write(slim.mapInArrow(chunks(folds, chunk_tokens), CHUNK), "chunks0")
@@ -418,10 +457,10 @@ class Katz:
 
     def _round(self, k: int) -> None:
         plan, scratch, most = self.plan, self.scratch, self.most
-        sent = scratch.write(self.chunks.mapInArrow(send(k, plan), MESSAGE), f"sent{k}")
-        table = sent.groupBy("bucket").applyInArrow(count(), "bucket int, history long, word long, n long")
-        self.tables[k] = table = scratch.write(table, f"order={k}")
+        # the one shuffle of n-grams of this order
+        merged = scratch.write(self.chunks.mapInArrow(send(k, plan), MESSAGE).groupBy("bucket").applyInArrow(merge(), MERGED), f"merged{k}")
         scratch.tidy()
+        self.tables[k] = table = scratch.write(merged.mapInArrow(each_bucket(count), "bucket int, history long, word long, n long"), f"order={k}")
         coc = {int(r.n): int(r.k) for r in table.where(F.col("n") <= most + 1).groupBy("n").agg(F.count("*").alias("k")).collect()}
         plan.d[k] = discounts(coc, most)
         d, hot = plan.discount(k), {}
@@ -432,24 +471,19 @@ class Katz:
                 # if nothing was discounted, the unknown word gets the share of one more token
                 plan.unknown, plan.scale = (freed, 1.0) if freed > 0 else (1 / (plan.train + 1), plan.train / (plan.train + 1))
         else:
-            sums = sent.where("hot").groupBy("bucket").applyInArrow(hot_sums(d), "history long, c double, kept double, low double")
+            sums = merged.mapInArrow(each_bucket(hot_sums(d, plan.hot[k])), "history long, c double, kept double, low double")
             summed = sums.groupBy("history").agg(*[F.sum(c).alias(c) for c in ("c", "kept", "low")])
             hot = {int(np.int64(r.history).view(np.uint64)): (r.c, r.kept, r.low) for r in summed.collect()}  # at most HOT + 1 rows
-        told = sent.groupBy("bucket").applyInArrow(answer(k, d, hot, plan.buckets), MESSAGE)
-        self.answers = scratch.write(told, f"answers{k}")
+        self.answers = scratch.write(merged.mapInArrow(each_bucket(answer(k, d, hot, plan.buckets)), MESSAGE), f"answers{k}")
         if k < self.order:
-            plan.hot[k + 1] = self._hot_histories(k, sent)
-        scratch.drop(f"sent{k}")
-        scratch.tidy()
+            # histories of the next order with over 1/HOT of all training tokens, at most HOT, and the start mark
+            found = merged.mapInArrow(each_bucket(frequent(plan.buckets, max(1, plan.train // HOT))), "number long")
+            plan.hot[k + 1] = np.asarray([0, *(r.number for r in found.collect())], np.uint64)
+        scratch.drop(f"merged{k}")
         if k < self.order:
             self.chunks = scratch.write(self._answered(self.answers).mapInArrow(move_up(k, plan), CHUNK), f"chunks{k}")
             scratch.drop(f"chunks{k - 1}", f"answers{k}")
             scratch.tidy()
 
-    def _hot_histories(self, k: int, sent: DataFrame) -> np.ndarray:
-        """Numbers of the n-grams with over 1/HOT of all training tokens, at most HOT, and of the start mark."""
-        found = sent.groupBy("bucket").applyInArrow(frequent(self.plan.buckets, max(1, self.plan.train // HOT)), "number long")
-        return np.asarray([0, *(r.number for r in found.collect())], np.uint64)
-
     def scores(self) -> DataFrame:
         return self._answered(self.answers).mapInArrow(score(self.order, self.plan), SCORES)
