@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 #: White space that separates words in every operator of this package.
 WORD = r"[^\x20\x09-\x0D]+"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 GAP = r"[\x20\x09-\x0D]+"
 
 
@@ -39,8 +40,14 @@ class Scratch:
 
     def write(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
         """Write once and read back with the schema known, so no listing job infers it."""
+        # shuffle files of the write go when it ends: nothing reads them again
+        old = self.spark.conf.get(CLEANUP)
+        self.spark.conf.set(CLEANUP, "true")
         writer = df.write.mode("overwrite").option("compression", "zstd")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(self.path(name))
+        try:
+            (writer.partitionBy(*partition_by) if partition_by else writer).parquet(self.path(name))
+        finally:
+            self.spark.conf.set(CLEANUP, old)
         return self.read(name, df)
 
     def read(self, name: str, like: DataFrame) -> DataFrame:

@@ -440,7 +440,7 @@ def score(order: int, plan: Plan):
 class Katz:
     """Trains on the documents whose crc32(id) is not divisible by `folds`, and scores all."""
 
-    def __init__(self, docs: DataFrame, order: int = 2, folds: int = 10, most: int = 5, chunk_tokens: int = 3_000_000, bucket_grams: int = 2_000_000, id_col: str = "doc_id", text_col: str = "text"):
+    def __init__(self, docs: DataFrame, order: int = 2, folds: int = 10, most: int = 5, chunk_tokens: int = 2_000_000, bucket_grams: int = 2_000_000, id_col: str = "doc_id", text_col: str = "text"):
         self.scratch, self.order, self.most = Scratch(docs.sparkSession, "katz"), order, most
         slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
         self.chunks = self.scratch.write(slim.mapInArrow(chunks(folds, chunk_tokens), CHUNK), "chunks0")
