@@ -13,6 +13,10 @@ bits of each other are exactly those where something within 2 bits of one is wit
 is linear in the block and bounded by 2^24 entries, so no group is ever compared pair by pair at scale, and
 nothing is capped. Tasks emit links that span each posting, not all pairs.
 
+`drop_near_duplicates`, a stage on word shingles, has a rule of its own: Jaccard similarity of at least 0.8. That is
+about 9 of 64 bits, too far for the index above, so its index holds bands of minimum hashes; what meets there is
+compared by the shingle sets themselves.
+
 Edge cases: null, empty and blank texts have fingerprint zero and link like others; repeated rows each get
 their row; a null id gets its component's least known id (null if it has none); empty tables give no rows.
 """
@@ -35,20 +39,26 @@ MOST_BITS, LEAST_BYTES, SEED = 3, 5, 42
 TRIPLES = [*combinations(range(4), 3), *combinations(range(4, 8), 3)]
 
 
-def fingerprint(text: str | None, width: int) -> int:
-    """64 bits; a bit is set if it is set in over half the shingles' XXH64."""
-    words = (text or "").encode().lower().split()
-    if not words:
-        return 0
+def shingles(words: list[bytes], width: int) -> bytes:
+    """XXH64 of every run of `width` words, eight bytes each; of all words where they are fewer."""
     line = b" ".join(words)
     if len(words) <= width:
-        return xxhash.xxh64_intdigest(line, SEED)
+        return xxhash.xxh64_digest(line, SEED)
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(sizes + 1) - 1
     starts = (ends - sizes)[: 1 - width].tolist() if width > 1 else (ends - sizes).tolist()
     digest = xxhash.xxh64_digest
-    hashes = b"".join([digest(line[a:b], SEED) for a, b in zip(starts, ends[width - 1 :].tolist())])
-    bits = np.unpackbits(np.frombuffer(hashes, np.uint8).reshape(-1, 8), axis=1)
+    return b"".join([digest(line[a:b], SEED) for a, b in zip(starts, ends[width - 1 :].tolist())])
+
+
+def fingerprint(text: str | None, width: int) -> int:
+    """64 bits; a bit is set if it is set in over half the shingles' XXH64."""
+    words = (text or "").encode().lower().split()
+    if not words:
+        return 0
+    if len(words) <= width:
+        return xxhash.xxh64_intdigest(b" ".join(words), SEED)
+    bits = np.unpackbits(np.frombuffer(shingles(words, width), np.uint8).reshape(-1, 8), axis=1)
     counts = bits.sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * counts > len(bits)).tobytes(), "big")
 
@@ -217,16 +227,118 @@ def near_duplicates(docs: DataFrame, width: int = 3, id_col: str = "doc_id", tex
     return rows.join(named, "fp").select("doc_id", "fp", "component_id", "root", *also)
 
 
-def drop_near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with one row of each component: that of the least id (null last), ties by a hash of the text."""
+#: Minimum hashes of the filter: BANDS index keys of ROWS each. A pair of Jaccard 0.8 shares no key with probability 3e-6.
+BANDS, ROWS = 32, 5
+TURNS = np.asarray([[xxhash.xxh64_intdigest(f"{k}:{i}") for i in range(BANDS * ROWS)] for k in "ab"], np.uint64)[:, :, None] | np.uint64(1)
+
+
+def shingle_set(text: str | None, width: int) -> tuple[int, np.ndarray]:
+    """A hash of the words, and the sorted distinct shingle hashes."""
+    words = (text or "").encode().lower().split()
+    name = xxhash.xxh64_intdigest(b" ".join(words), SEED)
+    return name, np.unique(np.frombuffer(shingles(words, width), np.uint64)) if words else np.empty(0, np.uint64)
+
+
+def index_keys(grams: np.ndarray) -> list[int]:
+    """One key for each band of minimum hashes of a set; none for an empty set."""
+    if not len(grams):
+        return []
+    least = np.full(BANDS * ROWS, 2**64 - 1, np.uint64)
+    for at in range(0, len(grams), 512):
+        np.minimum(least, ((grams[None, at : at + 512] ^ TURNS[0]) * TURNS[1]).min(axis=1), out=least)
+    return [xxhash.xxh64_intdigest(least[k * ROWS : (k + 1) * ROWS].tobytes(), k) - 2**63 for k in range(BANDS)]
+
+
+def indexed(width: int):
+    """(id, th, text) -> (id, th, node, size, keys); texts of the same words are one node."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t, width) for t in batch.column(2).to_pylist()]
+            node = np.fromiter((n for n, _ in sets), np.uint64, len(sets)).view(np.int64)
+            keys = pa.array([index_keys(g) for _, g in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(node), pa.array([len(g) for _, g in sets], pa.int64()), keys], names=["id", "th", "node", "size", "keys"])
+
+    return run
+
+
+def similar_spanning(names: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links that connect what Jaccard similarities of at least 0.8 connect among the sets."""
+    size = np.asarray([len(s) for s in sets], np.int64)
+    ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    own = np.split(ids, np.cumsum(size)[:-1])
+    mark, out = np.zeros(int(ids.max()) + 1, np.int8), []
+    rest = np.arange(len(sets))
+    flat, starts = ids, np.cumsum(size) - size
+    while len(rest):
+        front, rest, flat, starts = [int(rest[0])], rest[1:], flat[size[rest[0]] :], starts[1:] - size[rest[0]]
+        while front and len(rest):
+            one = front.pop()
+            mark[own[one]] = 1
+            both = np.add.reduceat(mark[flat], starts, dtype=np.int64)
+            mark[own[one]] = 0
+            hit = 9 * both >= 4 * (size[one] + size[rest])  # both / (a + b - both) >= 0.8
+            if hit.any():
+                new = rest[hit].tolist()
+                out += [(names[one], names[x]) for x in new]
+                front += new
+                flat, rest = flat[np.repeat(~hit, size[rest])], rest[~hit]
+                starts = np.cumsum(size[rest]) - size[rest]
+    return out
+
+
+def verified(width: int):
+    """Stream of (root, i, j, node, text) rows sorted by root, i, j -> links (u, v) of true similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, {}
+
+        def links() -> Iterator[pa.RecordBatch]:
+            if len(held) > 1 and (found := similar_spanning(list(held), list(held.values()))):
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], names=["u", "v"])
+
+        for batch in batches:
+            for root, i, j, node, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if (root, i, j) != now:
+                    yield from links()
+                    now, held = (root, i, j), {}
+                if node not in held:
+                    held[node] = shingle_set(text, width)[1]
+        yield from links()
+
+    return run
+
+
+def similar_links(keyed: DataFrame, nodes: DataFrame, width: int, scratch: Scratch, most: int) -> DataFrame:
+    """Nodes that meet under a key, together with all that these meet, are compared by their sets: links (u, v).
+
+    A group of more than `most` shingles is dealt into blocks and every two blocks are compared, so memory is bounded.
+    """
+    posted = nodes.select("node", F.explode("keys").alias("key"))
+    hubs = posted.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("other")).where("hub <> other").select("key", "hub")
+    meet = posted.join(hubs, "key").where("node <> hub").select(F.col("hub").alias("u"), F.col("node").alias("v"))
+    groups = scratch.write(nodes.drop("keys").join(connected_components(meet, scratch), "node"), "groups")
+    blocks = groups.groupBy("root").agg(F.ceil(F.sum("size") / F.lit(most)).cast("int").alias("blocks"))
+    dealt = groups.join(blocks, "root").withColumn("b", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    texts = scratch.write(keyed.select("id", "th", "text").join(dealt.select("k.id", "k.th", "root", "node", "b", "blocks"), ["id", "th"]), "grouped_texts")
+    pairs = texts.select("root", "node", "text", "b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o"))
+    pairs = pairs.select("root", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "node", "text")
+    return pairs.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(verified(width), "u long, v long")
+
+
+def drop_near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text", most: int = 8_000_000) -> DataFrame:
+    """`docs` with one row of each component of shingle Jaccard >= 0.8: that of the least id (null last), ties by a hash of the text."""
     scratch, last = Scratch(docs.sparkSession, "neardup"), 2**63 - 1
     # the row travels packed, so its columns may have any names
     text = F.col(text_col).cast("string")
     keyed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(last)).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
-    found = near_duplicates(keyed, width, "id", "text", ("th",))
-    per_doc = found.groupBy("root", "doc_id", "th").agg(F.count("*").alias("n"))
-    best = per_doc.groupBy("root").agg(F.min(F.struct("doc_id", "th", "n")).alias("k"))
-    keep = scratch.write(best.select(F.col("k.doc_id").alias("id"), F.col("k.th").alias("th"), F.col("k.n").alias("n")), "keep")
+    each = scratch.write(keyed.select("id", "th", "text").mapInArrow(indexed(width), "id long, th long, node long, size long, keys array<long>"), "indexed")
+    nodes = scratch.write(each.groupBy("node").agg(F.min(F.struct("id", "th")).alias("k"), F.first("size").alias("size"), F.first("keys").alias("keys")), "nodes")
+    roots = connected_components(similar_links(keyed, nodes, width, scratch, most), Scratch(docs.sparkSession, "neardup_links"))
+    found = each.select("id", "th", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    per_doc = found.groupBy("root", "id", "th").agg(F.count("*").alias("n"))
+    best = per_doc.groupBy("root").agg(F.min(F.struct("id", "th", "n")).alias("k"))
+    keep = scratch.write(best.select("k.id", "k.th", "k.n"), "keep")
     rows = keyed.drop("text")
     kept = rows.join(keep.where("n = 1"), ["id", "th"], "left_semi")
     repeated = keep.where("n > 1")

@@ -96,5 +96,35 @@ def test_one_row_of_each_group_stays(spark):
     assert S.drop_near_duplicates(docs.limit(0)).collect() == []
 
 
+def grams(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def test_similar_texts_go_as_brute_force_jaccard_says(spark):
+    rng, rows = random.Random(8), []
+    for k in range(60):
+        base = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([6, 40, 120, 700]))]
+        for share in (0, 0.005, 0.01, 0.02, 0.03, 0.05):
+            rows.append((rng.randrange(10**9), " ".join(f"e{rng.randrange(10**6)}" if rng.random() < share else w for w in base)))
+    sets = {i: grams(t) for i, t in rows}
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) and find(a) != find(b):
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    want = sorted(i for i in sets if find(i) == i)
+    assert 60 < len(want) < 330
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for most in (8_000_000, 400):
+        assert sorted(r.doc_id for r in S.drop_near_duplicates(docs, most=most).collect()) == want
+
+
 def test_empty(spark):
     assert S.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
