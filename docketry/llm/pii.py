@@ -1,15 +1,15 @@
 """Information-theoretic sanitisation of personal data, DataFrame functions only.
 
 Protected entities are the identifiers that patterns find: e-mail and IP addresses, card numbers (Luhn) and
-phone numbers. The corpus then tells which ordinary terms reveal one: for each entity e and each term t within
-`window` characters of it, documents are counted that hold both, e, and t anywhere in any text. A term
+phone numbers. The corpus then tells which ordinary terms reveal one: for each entity e and each term t outside
+identifiers, documents are counted that hold both, e, and t anywhere in any text. A term
 discloses e as far as their pointwise mutual information reaches the entity's information content:
     ratio = log2(n(e,t) N / (n(e) n(t))) / log2(N / n(e)).
-From `threshold` on the term is generalised beside that entity, from `remove` on it is removed; identifiers
-are replaced by their kind. Pairs seen in fewer than `support` different texts are no evidence.
+From `threshold` on the term is generalised wherever it stands in any document, from `remove` on it is removed (a
+term goes by its highest ratio); identifiers are replaced by their kind. Pairs seen in fewer than `support` different texts are no evidence.
 
-Texts are scanned in place and never shuffled: shuffles carry spans, entity windows and counts, all with
-map-side combining, and joins on (entity, term) have one row per pair on one side, so a frequent entity only
+Texts with identifiers are shuffled once, to count equal ones together, and words only of texts that hold an
+identifier or a disclosing term; other shuffles carry spans, terms and counts with map-side combining, and joins on (entity, term) have one row per pair on one side, so a frequent entity only
 makes rows that adaptive execution may split. Patterns cannot backtrack over long runs.
 
 Edge cases: null or empty text has no spans; repeated rows each get theirs; a null id is kept; overlapping
@@ -18,7 +18,7 @@ spans of different kinds are all reported, and replaced as one; empty tables giv
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketry.llm.common import Scratch, let
@@ -89,42 +89,45 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(kinds, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def _windows(scanned: DataFrame, window: int) -> DataFrame:
-    """(uid, th, entity, term, start, end): terms beside an entity, outside all identifiers."""
-    near = scanned.where(F.size("base") > 0).select("uid", "th", "text", "base", F.explode("base").alias("b"))
+def _terms(rows: DataFrame, *key: str) -> DataFrame:
+    """(key..., term, start, end) of each term in `text` that is outside `base`; linear in the words."""
+    parts = F.arrays_zip(F.split("text", TERM, -1).alias("gap"), F.regexp_extract_all("text", F.lit(TERM), F.lit(0)).alias("hit"))
+    words = rows.select(*key, F.posexplode(parts).alias("at", "w")).select(*key, "at", F.length("w.gap").alias("gap"), F.col("w.hit").alias("hit"))
+    size = F.coalesce(F.length("hit"), F.lit(0))
+    words = words.withColumn("end", F.sum(F.col("gap") + size).over(Window.partitionBy(*key).orderBy("at")).cast("int")).where("hit is not null")
+    words = words.select(*key, F.lower("hit").alias("term"), (F.col("end") - F.length("hit")).alias("start"), "end")
+    spans = rows.where(F.size("base") > 0).select(*key, "base")
+    outside = F.col("base").isNull() | ~F.exists("base", lambda b: (F.col("start") < b["end"]) & (F.col("end") > b["start"]))
+    return words.join(spans, list(key), "left").where(outside).select(*key, "term", "start", "end")
+
+
+def _disclosing(scanned: DataFrame, scratch: Scratch, threshold: float, support: int) -> DataFrame:
+    """(term, ratio) at or above the threshold, the highest over all entities; n counts documents, support different texts."""
     kinds = F.array(*map(F.lit, KINDS))
-    near = near.withColumns({"low": F.greatest(F.lit(0), F.col("b.start") - window), "high": F.least(F.length("text"), F.col("b.end") + window), "entity": F.concat_ws(":", F.get(kinds, F.col("b.kind")), F.lower("b.value"))})
-    near = near.withColumn("view", F.substr("text", F.col("low") + 1, F.col("high") - F.col("low")))
-    near = near.select("uid", "th", "entity", "base", "low", "high", F.length("text").alias("size"), F.explode(find(F.col("view"), TERM)).alias("t"))
-    near = near.withColumns({"start": F.col("low") + F.col("t.start"), "end": F.col("low") + F.col("t.end"), "term": F.lower("t.value")})
-    # a word that the window cuts is no term
-    whole = ((F.col("start") > F.col("low")) | (F.col("low") == 0)) & ((F.col("end") < F.col("high")) | (F.col("high") == F.col("size")))
-    outside = ~F.exists("base", lambda b: (F.col("start") < b["end"]) & (F.col("end") > b["start"]))
-    return near.where(whole & outside).select("uid", "th", "entity", "term", "start", "end")
-
-
-def _disclosing(scanned: DataFrame, windows: DataFrame, text: DataFrame, threshold: float, support: int) -> DataFrame:
-    """(entity, term, ratio) at or above the threshold; n counts documents, support different texts."""
-    pairs = windows.select("entity", "term", "th", "uid").distinct().groupBy("entity", "term", "th").agg(F.count("*").alias("n"))
-    pairs = pairs.groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("texts")).where(F.col("texts") >= support)
-    entities = windows.select("entity", "uid").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    terms = text.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), 0))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    texts = scanned.where(F.size("base") > 0).groupBy("th").agg(F.count("*").alias("n"), F.first(F.struct("text", "base")).alias("f")).select("th", "n", "f.*")
+    texts = scratch.write(texts, "texts")
+    names = F.array_distinct(F.transform("base", lambda b: F.concat_ws(":", F.get(kinds, b["kind"]), F.lower(b["value"]))))
+    holders = scratch.write(texts.select("th", "n", F.explode(names).alias("entity")), "holders")
+    held = _terms(texts, "th").select("th", "term").distinct()
+    pairs = holders.join(held, "th").groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("texts")).where(F.col("texts") >= support)
+    entities = holders.groupBy("entity").agg(F.sum("n").alias("n_e"))
+    terms = scanned.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), 0))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
     every = F.lit(float(scanned.count()))
     ratio = F.log2(F.col("n_et") * every / (F.col("n_e") * F.col("n_t"))) / F.log2(every / F.col("n_e"))
     joined = pairs.join(entities, "entity").join(terms, "term").where(F.col("n_e") < every)
-    return joined.select("entity", "term", ratio.alias("ratio")).where(F.col("ratio") >= threshold)
+    return joined.select("term", ratio.alias("ratio")).where(F.col("ratio") >= threshold).groupBy("term").agg(F.max("ratio").alias("ratio"))
 
 
-def disclosures(docs: DataFrame, window: int = 120, threshold: float = 0.9, support: int = 3, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
+def disclosures(docs: DataFrame, threshold: float = 0.9, support: int = 3, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
     """Per row: doc_id, base (identifier spans), terms (array of start, end, ratio)[, text]."""
     scratch = Scratch(docs.sparkSession, "pii")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumns({"base": identifiers(F.col("text")), "uid": F.monotonically_increasing_id(), "th": F.xxhash64("text")})
-    needed = F.col("text") if with_text else F.when(F.size("base") > 0, F.col("text"))
-    scanned = scratch.write(rows.withColumn("text", needed), "scanned")
-    windows = scratch.write(_windows(scanned, window), "windows")
-    telling = scratch.write(_disclosing(scanned, windows, docs.select(text.alias("text")), threshold, support), "telling")
-    spans = windows.join(telling, ["entity", "term"]).groupBy("uid", "start", "end").agg(F.max("ratio").alias("ratio"))
+    scanned = scratch.write(rows, "scanned")
+    telling = scratch.write(_disclosing(scanned, scratch, threshold, support), "telling")
+    used = scanned.select("uid", F.explode(F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), F.lower))).alias("term"))
+    marked = scratch.write(used.join(telling, "term", "left_semi").select("uid").distinct(), "marked")
+    spans = _terms(scanned.join(marked, "uid", "left_semi").select("uid", "text", "base"), "uid").join(telling, "term")
     spans = spans.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("start", "end", "ratio"))).alias("terms"))
     found = scanned.join(spans, "uid", "left")
     none = F.array().cast("array<struct<start:int,end:int,ratio:double>>")

@@ -99,6 +99,18 @@ def test_terms_against_brute_force(spark):
     assert "Quillfeather" not in clean[100] and "[email]" in clean[100] and clean[0] == rows[0][1] and clean[200] == ""
 
 
+def test_terms_far_from_the_identifier_and_in_other_documents(spark):
+    filler = " ".join(f"{c}{d}x" for c in "abcdefgh" for d in "qrstuvwxyz") + " "
+    rows = [(k, "common words " * (k % 3) + filler + str(k)) for k in range(200)]
+    rows += [(1000 + k, f"Quillfeather {k} {filler}zq@mail.org quillfeather") for k in range(5)] + [(2000, "no mail, only Quillfeather"), (2001, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: [(t.start, t.end) for t in r.terms] for r in disclosures(docs).collect()}
+    for i, t in rows:
+        assert got[i] == [m.span() for m in re.finditer("quillfeather", (t or "").lower())], i
+    clean = {r.doc_id: r.text for r in sanitise(docs).collect()}
+    assert not any("quillfeather" in t.lower() for t in clean.values()) and clean[0] == rows[0][1]
+
+
 def test_query_shape(spark, tmp_path):
     from docketry.llm.queries import op5_disclosure_sanitising
 
