@@ -1,61 +1,54 @@
 import random
-from collections import Counter, defaultdict
+from collections import Counter
 
-from docketry.llm.line_dedup import aligned, dedup_lines
+from docketry.llm.line_dedup import dedup_lines, passes, runs_of
 
 
-def longest_run(pairs):
-    best = [0] * len(pairs)
-    for i in range(len(pairs)):
-        best[i] = 1 + max((best[j] for j in range(i) if pairs[j][1] < pairs[i][1]), default=0)
-    return max(best, default=0)
-
-
-def test_aligned_is_longest():
+def test_passes_keep_order_and_lose_nothing():
     rng = random.Random(2)
     for _ in range(200):
-        n = rng.randint(0, 9)
-        pairs = list(zip(range(n), rng.sample(range(20), n)))
-        got = [pairs[k] for k in aligned(pairs)]
-        assert len(got) == longest_run(pairs)
-        assert all(a[1] < b[1] for a, b in zip(got, got[1:]))
+        n = rng.randint(0, 12)
+        pairs = [(k, rng.randrange(8)) for k in range(n)]
+        got = passes(pairs)
+        assert sorted(k for series in got for k in series) == list(range(n))
+        for series in got:
+            assert series == sorted(series)
+            assert all(pairs[a][1] <= pairs[b][1] for a, b in zip(series, series[1:]))
+        # as many series as the longest strictly falling one has members: no partition has fewer
+        fall = [0] * n
+        for i in range(n):
+            fall[i] = 1 + max((fall[j] for j in range(i) if pairs[j][1] > pairs[i][1]), default=0)
+        assert len(got) == max(fall, default=0)
+
+
+def test_runs():
+    rng = random.Random(4)
+    for _ in range(300):
+        sizes, least = [rng.randint(1, 4) for _ in range(rng.randint(0, 9))], rng.randint(1, 6)
+        want = set()
+        for i in range(len(sizes)):
+            want |= set([(i, j) for j in range(i, len(sizes)) if sum(sizes[i : j + 1]) >= least][:1])
+            want |= set([(j, i) for j in range(i, -1, -1) if sum(sizes[j : i + 1]) >= least][:1])
+        assert runs_of(sizes, least) == sorted(want)
 
 
 def brute(rows, min_words=3):
-    """Texts of the distinct documents after deletion, straight from the definition."""
+    """Texts after deletion, by holding every document against every earlier one: lines in common blocks with enough words go."""
     docs = sorted({(2**63 - 1 if i is None else i, t) for i, t in rows if t}, key=lambda d: d)
-    tokens = {}
-    for d in docs:
-        seen, toks, step = Counter(), [], 0
-        for pos, line in enumerate(d[1].split("\n")):
-            flat = " ".join(line.split())
-            if flat:
-                seen[flat] += 1
-                step += 1
-                toks.append(((flat, seen[flat]), pos, step, len(flat.split())))
-        tokens[d] = toks
-    holder = {}
-    for d in docs:
-        for key, pos, step, _ in tokens[d]:
-            holder.setdefault(key, (d, pos, step))
+    lines = {d: [(pos, x.split()) for pos, x in enumerate(d[1].split("\n")) if x.split()] for d in docs}
     out = {}
-    for d in docs:
-        pairs = defaultdict(list)
-        for key, pos, step, n in tokens[d]:
-            o, opos, ostep = holder[key]
-            if o != d:
-                pairs[o].append((pos, opos, n, step, ostep))
-        gone = set()
-        for rows_ in pairs.values():
-            keep = [rows_[k] for k in aligned([r[:2] for r in rows_])]
-            group = []
-            for r in [*keep, None]:
-                if group and (r is None or (r[3], r[4]) != (group[-1][3] + 1, group[-1][4] + 1)):
-                    if sum(g[2] for g in group) >= min_words:
-                        gone |= {g[0] for g in group}
-                    group = []
-                group.append(r)
-        out[d] = ("\n".join(x for k, x in enumerate(d[1].split("\n")) if k not in gone), len(gone))
+    for n, later in enumerate(docs):
+        gone, a = set(), lines[later]
+        for earlier in docs[:n]:
+            b = lines[earlier]
+            for i in range(len(a)):
+                for j in range(len(b)):
+                    k = 0
+                    while i + k < len(a) and j + k < len(b) and a[i + k][1] == b[j + k][1]:
+                        k += 1
+                    if sum(len(w) for _, w in a[i : i + k]) >= min_words:
+                        gone |= {pos for pos, _ in a[i : i + k]}
+        out[later] = ("\n".join(x for k, x in enumerate(later[1].split("\n")) if k not in gone), len(gone))
     return out
 
 
@@ -76,6 +69,29 @@ def test_planted(spark):
     check(spark, rows)
 
 
+def kept(spark, *texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r.text for r in dedup_lines(df).orderBy("doc_id").collect()]
+
+
+def test_blocks_shared_with_a_document_that_held_none_of_their_lines_first(spark):
+    assert kept(spark, "two words", "two words\nother pair", "two words\nother pair") == ["two words", "two words\nother pair", ""]
+    menu = "home\nabout us\nnews"
+    assert kept(spark, "home\nx1 x2 x3", "y1 y2 y3\nabout us", "news\nz1 z2 z3", f"{menu}\nfourth own line", f"fifth own line\n{menu}")[4] == "fifth own line"
+
+
+def test_moved_blocks(spark):
+    p, q = ("\n".join(f"{x} passage line {k}" for k in range(30)) for x in "pq")
+    assert kept(spark, f"{p}\nmiddle of first\n{q}", f"{q}\nmiddle of second\n{p}", f"{q}\nmiddle of third\n{p}")[1:] == ["middle of second", "middle of third"]
+
+
+def test_copies_and_long_texts(spark):
+    long = "\n".join(f"line {k} of it" if k % 3 else f"w{k}" for k in range(20000))
+    got = kept(spark, long, "\n".join(reversed(long.split("\n"))), long, long + "\nand one more line")
+    assert got[0] == long and got[2] == "" and got[3] == "and one more line"
+    assert got[1] == "\n".join(x for x in reversed(long.split("\n")) if x.startswith("w"))
+
+
 def test_random_against_brute_force(spark):
     rng = random.Random(7)
     pool = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 5))) for _ in range(25)] + [""]
