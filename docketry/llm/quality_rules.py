@@ -1,16 +1,23 @@
 """Quality rules with adaptive thresholds, DataFrame functions only.
 
-Every document gets counts of its whole text and from them five integer measures. Each (lang, source) keeps,
-per measure, a quantile sketch: a histogram over integer values with at most `BINS` bins. Such sketches merge
-by adding counts, so they are built with map-side combining, and a small group is judged by a merged one: its
-own sketch if it holds `min_docs` documents, else its language's, else the corpus's. Thresholds are outer
-fences, q75 + `spread` * (q75 - q25) + `slack` per measure (q25 - ... below), so they move with the language and source.
-They replace fixed cutoffs; only the two fixed base rules stay. Documents then meet their group's thresholds
-in a join on (lang, source), which has a row per group, and are kept or not.
+Every document gets counts of its whole text and from them five integer measures. Each (lang, source) keeps, per
+measure, a quantile sketch of its documents that pass the base rule: counts of cells, where a value keeps its
+leading `BITS` binary digits. A cell is so at most 1/64 of its value wide, small values are exact, the number of cells
+grows with the logarithm of the range alone, and sketches merge by adding counts: they are built with map-side
+combining, do not depend on partitioning or retries, and a small group is judged by a merged one: its own sketch if it
+holds `min_docs` documents, else its language's, else the corpus's.
+
+Thresholds are fences outside two quantiles of the sketch: high + spread * (high - low), and low - spread * (high -
+low) where a measure has a lower one. Measures with a bulk (marks, capitals, word length) go by the quartiles; measures
+that are 0 for most documents (repeats) go by the median and the 99th percentile. So all move with language and
+source and replace fixed cutoffs; `grain` is the least distance that counts where a group has no spread at all, and
+only the two fixed base rules stay. Documents then meet their group's thresholds in a join on (lang, source), which
+has a row per group, and are kept or not.
 
 The measures sit in each row, so the only shuffles carry sketches and thresholds, never texts: the text table
 is joined on the map side when the thresholds are few (size checked by the optimiser), else by a join that
-adaptive execution splits where one source holds a third of the rows.
+adaptive execution splits where one source holds a third of the rows. The driver sees the corpus's sketch, which is
+bounded by its cells.
 
 Edge cases: null text has no words and fails the base rule, as does an empty one; a null lang or source is a
 group like any other; repeated rows each count and each get their row; an empty table gives no rows.
@@ -23,10 +30,10 @@ from pyspark.sql import functions as F
 
 from docketry.llm.common import Scratch, let, words_of
 
-#: Sketch bins of a measure; larger values share the last one.
-BINS = 1001
-#: measure: (slack of the upper fence, slack of the lower fence or None)
-MEASURES = {"symbol_share": (20, None), "repeat_share": (300, None), "dup_line_share": (400, None), "upper_share": (60, None), "word_length": (30, 15)}
+#: Binary digits of a value that a sketch keeps.
+BITS = 7
+#: measure: (low quantile, high quantile, spread, least distance of the quantiles, whether there is a lower fence)
+MEASURES = {"mark_share": (25, 75, 6, 2, False), "upper_share": (25, 75, 6, 2, False), "word_length": (25, 75, 6, 1, True), "repeat_share": (50, 99, 2, 50, False), "dup_line_share": (50, 99, 2, 100, False)}
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -61,42 +68,69 @@ def measured(docs: DataFrame, id_col: str, text_col: str, lang_col: str, source_
     t = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     chars = lambda kept: F.length(F.regexp_replace("t", f"[^{kept}]+", "")).cast("long")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(source_col).cast("string").alias("source"), *also, t.alias("t"))
-    rows = rows.withColumns({"ws": words_of(F.col("t")), "ls": F.filter(F.split("t", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")), "n_symbols": chars(r"#*$%&|<>"), "n_upper": chars("A-Z!")}).drop("t")
+    rows = rows.withColumns({"ws": words_of(F.col("t")), "ls": F.filter(F.split("t", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")), "n_symbols": chars(r"#*$%&|<>"), "n_upper": chars("A-Z!"), "n_marks": chars(r"!-/:-@\[-`{-~")}).drop("t")
     rows = rows.withColumns({"n_words": F.size("ws").cast("long"), "word_chars": F.length(F.array_join("ws", "")).cast("long"), "n_lines": F.size("ls").cast("long"), "n_dup_lines": (F.size("ls") - F.size(F.array_distinct("ls"))).cast("long")})
     rows = with_repeats(rows).drop("ws", "ls")
-    share = lambda part, whole, scale: F.least(F.lit(BINS - 1), F.floor(scale * F.col(part) / F.greatest(F.lit(1), F.col(whole)))).cast("int")
+    share = lambda part, whole, scale: F.floor(scale * F.col(part) / F.greatest(F.lit(1), F.col(whole))).cast("long")
     rows = rows.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-    return rows.withColumns({"symbol_share": share("n_symbols", "word_chars", 1000), "repeat_share": share("n_repeat_words", "n_words", 1000), "dup_line_share": share("n_dup_lines", "n_lines", 1000), "upper_share": share("n_upper", "word_chars", 1000), "word_length": share("word_chars", "n_words", 10)})
+    return rows.withColumns({"mark_share": share("n_marks", "word_chars", 1000), "upper_share": share("n_upper", "word_chars", 1000), "word_length": share("word_chars", "n_words", 10), "repeat_share": share("n_repeat_words", "n_words", 1000), "dup_line_share": share("n_dup_lines", "n_lines", 1000)})
+
+
+def cell(value: Column) -> Column:
+    """The least value of a sketch's cell: all but the leading binary digits are 0."""
+    drop = F.greatest(F.lit(0), F.length(F.bin(value)) - BITS)
+    return F.call_function("shiftleft", F.call_function("shiftright", value, drop), drop)
 
 
 def sketches(rows: DataFrame) -> DataFrame:
-    """(lang, source, measure, value, n): the mergeable sketches, a row per filled bin."""
-    cells = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("value")) for m in MEASURES]))
-    return rows.where("n_words > 0").select("lang", "source", cells.alias("x")).groupBy("lang", "source", "x.measure", "x.value").agg(F.count("*").alias("n"))
+    """(lang, source, measure, value, n): the mergeable sketches, a row per filled cell."""
+    cells = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), cell(F.col(m)).alias("value")) for m in MEASURES]))
+    return rows.where("not base_failed").select("lang", "source", cells.alias("x")).groupBy("lang", "source", "x.measure", "x.value").agg(F.count("*").alias("n"))
 
 
-def fences(sketch: DataFrame, spread: float, min_docs: int) -> DataFrame:
-    """Thresholds per (lang, source): columns <measure>_low and <measure>_high."""
-    def quantiles(df: DataFrame, keys: list[str]) -> DataFrame:
-        by = Window.partitionBy(*keys, "measure")
-        run = df.withColumns({"upto": F.sum("n").over(by.orderBy("value")), "total": F.sum("n").over(by)})
-        at = lambda q: F.min(F.when(F.col("upto") * 100 >= F.col("total") * q, F.col("value")))
-        return run.groupBy(*keys, "measure").agg(at(25).alias("q25"), at(75).alias("q75"), F.max("total").alias("total"))
+def quantiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, measure, low, high, total): each measure's two quantiles from a sketch of those keys."""
+    by = Window.partitionBy(*keys, "measure")
+    run = sketch.withColumns({"upto": F.sum("n").over(by.orderBy("value")), "total": F.sum("n").over(by)})
+
+    def at(k: int) -> Column:
+        asked = F.create_map(*[x for m, rule in MEASURES.items() for x in (F.lit(m), F.lit(rule[k]))])[F.col("measure")]
+        return F.min(F.when(F.col("upto") * 100 >= F.col("total") * asked, F.col("value")))
+
+    return run.groupBy(*keys, "measure").agg(at(0).alias("low"), at(1).alias("high"), F.max("total").alias("total"))
 
+
+def _of_all(cells: list) -> Column:
+    """The same over the whole corpus, as a map from the measure; `cells` is its sketch."""
+    found = []
+    for m, rule in MEASURES.items():
+        mine = sorted((r.value, r.n) for r in cells if r.measure == m)
+        total, upto, q = sum(n for _, n in mine), 0, {}
+        for value, n in mine:
+            upto += n
+            for k in (0, 1):
+                if upto * 100 >= total * rule[k]:
+                    q.setdefault(k, value)
+        found += [F.lit(m), F.struct(F.lit(q.get(0, 0)).cast("long").alias("low"), F.lit(q.get(1, 0)).cast("long").alias("high"), F.lit(total).cast("long").alias("total"))]
+    return F.create_map(*found)
+
+
+def fences(sketch: DataFrame, min_docs: int) -> DataFrame:
+    """Thresholds per (lang, source): columns <measure>_low and <measure>_high."""
     merged = lambda keys: sketch.groupBy(*keys, "measure", "value").agg(F.sum("n").alias("n"))
     own = quantiles(sketch, ["lang", "source"])
-    lang = quantiles(merged(["lang"]), ["lang"]).select(F.col("lang").alias("l"), F.col("measure").alias("lm"), F.struct("q25", "q75", "total").alias("by_lang"))
-    every = quantiles(merged([]), []).select(F.col("measure").alias("am"), F.struct("q25", "q75", "total").alias("by_all"))
-    best = own.join(lang, F.col("lang").eqNullSafe(F.col("l")) & (F.col("measure") == F.col("lm"))).join(every, F.col("measure") == F.col("am"))
-    pick = F.when(F.col("total") >= min_docs, F.struct("q25", "q75", "total")).when(F.col("by_lang.total") >= min_docs, F.col("by_lang")).otherwise(F.col("by_all"))
+    lang = quantiles(merged(["lang"]), ["lang"]).select(F.col("lang").alias("l"), F.col("measure").alias("lm"), F.struct("low", "high", "total").alias("by_lang"))
+    every = _of_all(merged([]).collect())  # a row per cell, a few hundred for each measure
+    best = own.join(lang, F.col("lang").eqNullSafe(F.col("l")) & (F.col("measure") == F.col("lm")))
+    pick = F.when(F.col("total") >= min_docs, F.struct("low", "high", "total")).when(F.col("by_lang.total") >= min_docs, F.col("by_lang")).otherwise(every[F.col("measure")])
     best = best.select("lang", "source", "measure", pick.alias("q"))
-    gap = spread * (F.col("q.q75") - F.col("q.q25"))
-    cell = lambda m, e: F.max(F.when(F.col("measure") == m, e))
+    of = lambda m, e: F.max(F.when(F.col("measure") == m, e))
     out = []
-    for m, (above, below) in MEASURES.items():
-        out.append(cell(m, F.col("q.q75") + gap + above).alias(f"{m}_high"))
-        if below is not None:
-            out.append(cell(m, F.col("q.q25") - gap - below).alias(f"{m}_low"))
+    for m, (_, _, spread, grain, lower) in MEASURES.items():
+        gap = spread * F.greatest(F.lit(grain), F.col("q.high") - F.col("q.low"))
+        out.append(of(m, F.col("q.high") + gap).alias(f"{m}_high"))
+        if lower:
+            out.append(of(m, F.col("q.low") - gap).alias(f"{m}_low"))
     return best.groupBy("lang", "source").agg(*out)
 
 
@@ -104,22 +138,22 @@ def _judged(rows: DataFrame, limits: DataFrame) -> tuple[DataFrame, Column]:
     limits = limits.withColumnsRenamed({"lang": "_l", "source": "_s"})
     joined = rows.join(limits, F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s")), "left")
     fine = ~F.col("base_failed")
-    for m, (_, below) in MEASURES.items():
+    for m, rule in MEASURES.items():
         fine = fine & (F.col(m) <= F.col(f"{m}_high"))
-        if below is not None:
+        if rule[-1]:
             fine = fine & (F.col(m) >= F.col(f"{m}_low"))
     return joined, F.coalesce(fine, F.lit(False))
 
 
-def quality_verdicts(docs: DataFrame, spread: float = 3.0, min_docs: int = 200, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+def quality_verdicts(docs: DataFrame, min_docs: int = 200, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """Per row: doc_id, base counts, base_failed, kept, and the measures."""
     scratch = Scratch(docs.sparkSession, "quality")
     rows = scratch.write(measured(docs, id_col, text_col, lang_col, source_col), "measures")
-    joined, kept = _judged(rows, scratch.write(fences(sketches(rows), spread, min_docs), "limits"))
+    joined, kept = _judged(rows, scratch.write(fences(sketches(rows), min_docs), "limits"))
     return joined.select("doc_id", *COUNTS, "base_failed", kept.alias("kept"), *MEASURES)
 
 
-def filter_documents(docs: DataFrame, spread: float = 3.0, min_docs: int = 200, **columns: str) -> DataFrame:
+def filter_documents(docs: DataFrame, min_docs: int = 200, **columns: str) -> DataFrame:
     """The rows of `docs` that pass, with their columns as they were.
 
     Slim measures are written for the sketches and measured anew beside the texts for the verdict: that costs
@@ -128,7 +162,7 @@ def filter_documents(docs: DataFrame, spread: float = 3.0, min_docs: int = 200,
     scratch = Scratch(docs.sparkSession, "quality")
     names = {"id_col": "doc_id", "text_col": "text", "lang_col": "lang", "source_col": "source"} | columns
     rows = scratch.write(measured(docs, **names), "measures")
-    limits = scratch.write(fences(sketches(rows), spread, min_docs), "limits")
+    limits = scratch.write(fences(sketches(rows), min_docs), "limits")
     packed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), *[F.col(names[k]).alias(k) for k in names])
     joined, kept = _judged(measured(packed, **{k: k for k in names}, also=("_row",)), limits)
     return joined.where(kept).select("_row.*")

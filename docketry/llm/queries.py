@@ -83,23 +83,26 @@ ORACLE: dict[str, str] = {"op7_licence_scan": licences.oracle()}
 ORACLE["op2_quality_rules"] = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
 w AS (SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls,
-        length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, length(regexp_replace(t, '[^A-Z!]+', '', 'g')) AS n_upper FROM d),
+        length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, length(regexp_replace(t, '[^A-Z!]+', '', 'g')) AS n_upper, length(regexp_replace(t, '[^!-/:-@\[-`{-~]+', '', 'g')) AS n_marks FROM d),
 g AS (SELECT r, unnest(generate_series(1, len(ws) - 2)) AS p, unnest(list_transform(generate_series(1, len(ws) - 2), lambda k: ws[k] || ' ' || ws[k + 1] || ' ' || ws[k + 2])) AS gram FROM w WHERE len(ws) > 2),
 twice AS (SELECT r, p FROM (SELECT r, p, count(*) OVER (PARTITION BY r, gram) AS n FROM g) WHERE n > 1),
 rep AS (SELECT r, count(DISTINCT p + o) AS n_repeat FROM twice, (SELECT unnest([0, 1, 2]) AS o) GROUP BY r),
 c AS (SELECT d.r, doc_id, lang, source, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
-        coalesce(n_repeat, 0)::BIGINT AS n_repeat_words, len(ls) AS n_lines, n_upper FROM d JOIN w USING (r) LEFT JOIN rep USING (r)),
-m AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, least(1000, 1000 * n_symbols // greatest(1, word_chars)) AS symbol_share, least(1000, 1000 * n_repeat_words // greatest(1, n_words)) AS repeat_share,
-        least(1000, 1000 * n_dup_lines // greatest(1, n_lines)) AS dup_line_share, least(1000, 1000 * n_upper // greatest(1, word_chars)) AS upper_share, least(1000, 10 * word_chars // greatest(1, n_words)) AS word_length FROM c),
-x AS (UNPIVOT (SELECT r, lang, source, symbol_share, repeat_share, dup_line_share, upper_share, word_length FROM m WHERE n_words > 0) ON symbol_share, repeat_share, dup_line_share, upper_share, word_length INTO NAME measure VALUE v),
-own AS (SELECT lang, source, measure, quantile_disc(v, 0.25) AS q25, quantile_disc(v, 0.75) AS q75, count(*) AS n FROM x GROUP BY ALL),
-bylang AS (SELECT lang, measure, quantile_disc(v, 0.25) AS q25, quantile_disc(v, 0.75) AS q75, count(*) AS n FROM x GROUP BY ALL),
-every AS (SELECT measure, quantile_disc(v, 0.25) AS q25, quantile_disc(v, 0.75) AS q75 FROM x GROUP BY ALL),
-q AS (SELECT o.lang, o.source, o.measure, CASE WHEN o.n >= 200 THEN o.q25 WHEN l.n >= 200 THEN l.q25 ELSE e.q25 END AS q25, CASE WHEN o.n >= 200 THEN o.q75 WHEN l.n >= 200 THEN l.q75 ELSE e.q75 END AS q75
+        coalesce(n_repeat, 0)::BIGINT AS n_repeat_words, len(ls) AS n_lines, n_upper, n_marks FROM d JOIN w USING (r) LEFT JOIN rep USING (r)),
+m AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, 1000 * n_marks // greatest(1, word_chars) AS mark_share, 1000 * n_upper // greatest(1, word_chars) AS upper_share,
+        10 * word_chars // greatest(1, n_words) AS word_length, 1000 * n_repeat_words // greatest(1, n_words) AS repeat_share, 1000 * n_dup_lines // greatest(1, n_lines) AS dup_line_share FROM c),
+x AS (UNPIVOT (SELECT r, lang, source, mark_share::BIGINT AS mark_share, upper_share::BIGINT AS upper_share, word_length::BIGINT AS word_length, repeat_share::BIGINT AS repeat_share, dup_line_share::BIGINT AS dup_line_share FROM m WHERE NOT base_failed)
+      ON mark_share, upper_share, word_length, repeat_share, dup_line_share INTO NAME measure VALUE v),
+rule AS (SELECT * FROM (VALUES ('mark_share', 25, 75, 6, 2, false), ('upper_share', 25, 75, 6, 2, false), ('word_length', 25, 75, 6, 1, true), ('repeat_share', 50, 99, 2, 50, false), ('dup_line_share', 50, 99, 2, 100, false)) t(measure, lo, hi, spread, grain, lower)),
+s AS (SELECT lang, source, measure, (v >> b) << b AS v FROM (SELECT *, greatest(0, length(bin(v)) - 7)::BIGINT AS b FROM x)),
+own AS (SELECT lang, source, measure, quantile_disc(v, [0.25, 0.5, 0.75, 0.99]) AS q, count(*) AS n FROM s GROUP BY ALL),
+bylang AS (SELECT lang, measure, quantile_disc(v, [0.25, 0.5, 0.75, 0.99]) AS q, count(*) AS n FROM s GROUP BY ALL),
+every AS (SELECT measure, quantile_disc(v, [0.25, 0.5, 0.75, 0.99]) AS q FROM s GROUP BY ALL),
+p AS (SELECT o.lang, o.source, o.measure, CASE WHEN o.n >= 200 THEN o.q WHEN l.n >= 200 THEN l.q ELSE e.q END AS q
       FROM own o JOIN bylang l ON o.lang IS NOT DISTINCT FROM l.lang AND o.measure = l.measure JOIN every e ON o.measure = e.measure),
-slack AS (SELECT * FROM (VALUES ('symbol_share', 20, NULL), ('repeat_share', 300, NULL), ('dup_line_share', 400, NULL), ('upper_share', 60, NULL), ('word_length', 30, 15)) s(measure, above, below)),
-bad AS (SELECT DISTINCT x.r FROM x JOIN q ON x.lang IS NOT DISTINCT FROM q.lang AND x.source IS NOT DISTINCT FROM q.source AND x.measure = q.measure JOIN slack s ON s.measure = x.measure
-        WHERE x.v > q75 + 3 * (q75 - q25) + above OR x.v < q25 - 3 * (q75 - q25) - below)
+f AS (SELECT lang, source, p.measure, CASE lo WHEN 25 THEN q[1] ELSE q[2] END AS low, CASE hi WHEN 75 THEN q[3] ELSE q[4] END AS high, spread, grain, lower FROM p JOIN rule USING (measure)),
+bad AS (SELECT DISTINCT x.r FROM x JOIN f ON x.lang IS NOT DISTINCT FROM f.lang AND x.source IS NOT DISTINCT FROM f.source AND x.measure = f.measure
+        WHERE x.v > high + spread * greatest(grain, high - low) OR (lower AND x.v < low - spread * greatest(grain, high - low)))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND r NOT IN (SELECT r FROM bad) AS kept FROM m
 """
 
