@@ -80,23 +80,52 @@ def engine(path: str):
         ranks = {bytes(byte[c] for c in x): vocab[x] for x in [*letters, *joined]}
         return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
+    tok.encode_special_tokens = True  # texts come here without added tokens
     return lambda text: tok.encode(text, add_special_tokens=False).ids
 
 
+def added_tokens(path: str) -> tuple[dict[str, int], bool]:
+    """The file's added tokens with their ids, and whether any of them takes more than its own characters."""
+    import json
+
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    rows = spec.get("added_tokens") or []
+    return {r["content"]: r["id"] for r in rows}, any(r.get("lstrip") or r.get("rstrip") or r.get("single_word") or r.get("normalized") and spec.get("normalizer") for r in rows)
+
+
 class Encoder:
-    """Exact ids of a byte-level BPE file, memoised per space-separated chunk.
+    """The tokenizers library's exact ids of a byte-level BPE file, memoised per space-separated chunk.
 
-    A single space between two visible characters always starts a new pre-token, so a text may be cut there
-    and each chunk encoded alone. The memo lives as long as the Python worker and is bounded.
+    Added tokens that stand in a text are found first, as the library does, and each is its own id. A single space
+    between two visible characters always starts a new pre-token, so what lies between them may be cut there and
+    each chunk encoded alone. The memo lives as long as the Python worker and is bounded.
     """
 
     def __init__(self, path: str, limit: int = 300_000):
         self.exact = encode = engine(path)
         self.first, self.rest = Memo(encode, "", limit // 10), Memo(encode, " ", limit)
+        self.added, self.greedy = added_tokens(path)
+        self.special = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
+        if self.greedy:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(path)
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
+        if not self.special or not self.special.search(text):
+            return self.plain(text)
+        if self.greedy:  # tokens that take white space or look at their neighbours are left to the library
+            return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+        out, at = [], 0
+        for hit in self.special.finditer(text):
+            out += [self.plain(text[at : hit.start()]), array("I", [self.added[hit[0]]]).tobytes()]
+            at = hit.end()
+        return b"".join([*out, self.plain(text[at:])])
+
+    def plain(self, text: str) -> bytes:
+        """Ids of a text without added tokens."""
         if not text:
             return b""
         parts = text.split(" ")

@@ -11,7 +11,6 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
 TOK = Tokenizer.from_file(PATH)
-TOK.encode_special_tokens = True
 
 
 def plain_ids(text):
@@ -19,7 +18,7 @@ def plain_ids(text):
 
 
 TEXTS = [
-    "", None, " ", "  ", "a", " a", "a ", "a  b", "a\n b", "a \nb", "a\t b c", "don't  stop", "x <|endoftext|> y", "é à b c", "1 22  333\n\n4 ", "Hello world, it's  fine.\nNew line here", "tab\there now", "  x 　 y z", "a\x1c b \x1cc d",
+    "", None, " ", "  ", "a", " a", "a ", "a  b", "a\n b", "a \nb", "a\t b c", "don't  stop", "x <|endoftext|> y", "<|endoftext|>", "<|endoftext|><|endoftext|> ", "a<|endoftext|>\n\n <|endoftext|>b <|endoftext |>", "é à b c", "1 22  333\n\n4 ", "Hello world, it's  fine.\nNew line here", "tab\there now", "  x 　 y z", "a\x1c b \x1cc d",
 ]
 
 
@@ -32,7 +31,7 @@ def test_encoder_equals_whole_text_encoding():
 
 def test_encoder_on_random_text_and_small_memo():
     rng = np.random.default_rng(3)
-    pieces = ["the", " ", "  ", "\n", "\t", "Élan", "ß", "12", "'s", "!!", "a", "中文", "\u00a0", "\u3000", "x" * 300, "\r\n", "-"]
+    pieces = ["<|endoftext|>", "<|", "the", " ", "  ", "\n", "\t", "Élan", "ß", "12", "'s", "!!", "a", "中文", "\u00a0", "\u3000", "x" * 300, "\r\n", "-"]
     enc = Encoder(PATH, 20)
     for _ in range(400):
         t = "".join(rng.choice(pieces, rng.integers(1, 25)))
