@@ -21,11 +21,12 @@ def brute(rows, targets=None, temper=0.5, seed=17):
     out = Counter()
     for i, text, src in rows:
         key = f"{'' if i is None else i}|{hashlib.md5((text or '').encode()).hexdigest()}"
-        u, n, p, c = unit(str(seed), key), 0, math.exp(-rate[src]), math.exp(-rate[src])
+        u, n = unit(str(seed), key), 0
+        chance = lambda k, r=rate[src]: math.exp(k * math.log(r) - r - math.lgamma(k + 1)) if r else float(k == 0)
+        c = chance(0)
         while c < u:
             n += 1
-            p *= rate[src] / n
-            c += p
+            c += chance(n)
         for k in range(1, n + 1):
             out[i, text, src, k] += 1
     return out
@@ -50,5 +51,31 @@ def test_shares_and_columns(spark):
     assert abs(n["a"] / (n["a"] + n["b"]) - 0.5) < 0.06
 
 
+@pytest.mark.parametrize("rate", [0.01, 50.0, 800.0, 5000.0])
+def test_rates_of_any_size(spark, rate):
+    """A source of 40 documents drawn at `rate`: the draws are those of the plain definition, their mean and spread Poisson's."""
+    small = [(i, f"t{i:03d}", "s") for i in range(40)]
+    rows = small + [(1000, "x" * 10_000_000, "big")]
+    share = rate * 160 / 10_000_160
+    targets = {"s": share, "big": 1 - share}
+    got = Counter(r.doc_id for r in mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string"), targets).select("doc_id").collect())
+    want = Counter()
+    for (i, *_), n in brute(rows, targets).items():
+        want[i] += n
+    assert got == want
+    assert abs(sum(got[i] for i, *_ in small) / 40 - rate) <= 5 * math.sqrt(rate / 40) + 0.05
+    assert rate < 50 or len({got[i] for i, *_ in small}) > 5
+
+
+def test_clashing_columns(spark):
+    names = ["copy", "rate", "shuffle_key", "src", "_key", "_row", "first", "cdf"]
+    rows = [(i, f"t{i}", "s", *names) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"{n} string" for n in names))
+    assert mix_sources(docs, details=False).columns == docs.columns
+    out = mix_sources(docs)
+    assert sorted(out.columns) == sorted(docs.columns)
+    assert {type(r["copy"]) for r in out.collect()} == {int}
+
+
 def test_empty(spark):
     assert mix_sources(spark.createDataFrame([], "doc_id long, text string, source string")).collect() == []
