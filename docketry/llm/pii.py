@@ -1,16 +1,21 @@
 """Information-theoretic sanitisation of personal data, DataFrame functions only.
 
-Protected entities are the identifiers that patterns find: e-mail and IP addresses, card numbers (Luhn) and
-phone numbers. The corpus then tells which ordinary terms reveal one: for each entity e and each term t outside
-identifiers, documents are counted that hold both, e, and t anywhere in any text. A term
-discloses e as far as their pointwise mutual information reaches the entity's information content:
+Protected entities are the identifiers that patterns find (e-mail and IP addresses, card numbers by Luhn, phone
+numbers) and the classes they belong to: mail domains, networks, card issuers, phone prefixes, the four kinds, and
+any identifier at all, for an identifier that stands in one text alone can have no evidence of its own. The corpus
+then tells which ordinary terms reveal one: for each entity e and each term t outside identifiers, documents are
+counted that hold both, e, and t, anywhere in their whole text. A term discloses e as far as their pointwise mutual
+information reaches the entity's information content:
     ratio = log2(n(e,t) N / (n(e) n(t))) / log2(N / n(e)).
 From `threshold` on the term is generalised wherever it stands in any document, from `remove` on it is removed (a
-term goes by its highest ratio); identifiers are replaced by their kind. Pairs seen in fewer than `support` different texts are no evidence.
+term goes by its highest ratio); identifiers are replaced by their kind. A pair seen in fewer than `support` different
+texts is no evidence, for a class in fewer than `class_support`, as chance makes more of such pairs.
 
-Texts with identifiers are shuffled once, to count equal ones together, and words only of texts that hold an
-identifier or a disclosing term; other shuffles carry spans, terms and counts with map-side combining, and joins on (entity, term) have one row per pair on one side, so a frequent entity only
-makes rows that adaptive execution may split. Patterns cannot backtrack over long runs.
+Each text is scanned once, for its identifiers and its distinct terms. Texts with identifiers are shuffled once, to
+count equal ones together, and words only of texts that hold an identifier or a disclosing term; other shuffles carry
+spans, terms and counts with map-side combining. Entities in too few texts go before they meet terms, so a text full
+of unique identifiers makes no pairs, and joins on an entity have one row per entity on one side, so a frequent one
+only makes rows that adaptive execution may split. Patterns cannot backtrack over long runs.
 
 Edge cases: null or empty text has no spans; repeated rows each get theirs; a null id is kept; overlapping
 spans of different kinds are all reported, and replaced as one; empty tables give no rows.
@@ -101,37 +106,47 @@ def _terms(rows: DataFrame, *key: str) -> DataFrame:
     return words.join(spans, list(key), "left").where(outside).select(*key, "term", "start", "end")
 
 
-def _disclosing(scanned: DataFrame, scratch: Scratch, threshold: float, support: int) -> DataFrame:
-    """(term, ratio) at or above the threshold, the highest over all entities; n counts documents, support different texts."""
+def entities(base: Column) -> Column:
+    """Names of the entities of a text: "=kind:value" for an identifier, "~..." for the classes it belongs to."""
     kinds = F.array(*map(F.lit, KINDS))
+
+    def of(b: Column) -> Column:
+        value, kind = F.lower(b["value"]), F.get(kinds, b["kind"])
+        group = F.when(b["kind"] == 0, F.substring_index(value, "@", -1)).when(b["kind"] == 1, F.substring_index(value, ".", 2)).when(b["kind"] == 2, F.substring(_digits(value), 1, 6)).otherwise(F.substring(_digits(value), 1, 4))
+        return F.array(F.concat(F.lit("="), kind, F.lit(":"), value), F.concat(F.lit("~"), kind, F.lit(":"), group), F.concat(F.lit("~"), kind), F.lit("~any"))
+
+    return F.array_distinct(F.flatten(F.transform(base, of)))
+
+
+def _disclosing(scanned: DataFrame, scratch: Scratch, threshold: float, support: int, class_support: int) -> DataFrame:
+    """(term, ratio) at or above the threshold, the highest over all entities; n counts documents, support different texts."""
     texts = scanned.where(F.size("base") > 0).groupBy("th").agg(F.count("*").alias("n"), F.first(F.struct("text", "base")).alias("f")).select("th", "n", "f.*")
     texts = scratch.write(texts, "texts")
-    names = F.array_distinct(F.transform("base", lambda b: F.concat_ws(":", F.get(kinds, b["kind"]), F.lower(b["value"]))))
-    holders = scratch.write(texts.select("th", "n", F.explode(names).alias("entity")), "holders")
+    holders = scratch.write(texts.select("th", "n", F.explode(entities(F.col("base"))).alias("entity")), "holders")
+    needed = F.when(F.col("entity").startswith("="), support).otherwise(class_support)
+    known = holders.groupBy("entity").agg(F.sum("n").alias("n_e"), F.count("*").alias("texts")).withColumn("needed", needed).where("texts >= needed").drop("texts")
     held = _terms(texts, "th").select("th", "term").distinct()
-    pairs = holders.join(held, "th").groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("texts")).where(F.col("texts") >= support)
-    entities = holders.groupBy("entity").agg(F.sum("n").alias("n_e"))
-    terms = scanned.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), 0))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    pairs = holders.join(known, "entity").join(held, "th").groupBy("entity", "term", "n_e", "needed").agg(F.sum("n").alias("n_et"), F.count("*").alias("texts")).where("texts >= needed")
+    terms = scanned.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
     every = F.lit(float(scanned.count()))
     ratio = F.log2(F.col("n_et") * every / (F.col("n_e") * F.col("n_t"))) / F.log2(every / F.col("n_e"))
-    joined = pairs.join(entities, "entity").join(terms, "term").where(F.col("n_e") < every)
+    joined = pairs.where(F.col("n_e") < every).join(terms, "term")
     return joined.select("term", ratio.alias("ratio")).where(F.col("ratio") >= threshold).groupBy("term").agg(F.max("ratio").alias("ratio"))
 
 
-def disclosures(docs: DataFrame, threshold: float = 0.9, support: int = 3, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
+def disclosures(docs: DataFrame, threshold: float = 0.9, support: int = 3, class_support: int = 10, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
     """Per row: doc_id, base (identifier spans), terms (array of start, end, ratio)[, text]."""
     scratch = Scratch(docs.sparkSession, "pii")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumns({"base": identifiers(F.col("text")), "uid": F.monotonically_increasing_id(), "th": F.xxhash64("text")})
+    words = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), F.lower))
+    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumns({"base": identifiers(F.col("text")), "uid": F.monotonically_increasing_id(), "th": F.xxhash64("text"), "terms": words})
     scanned = scratch.write(rows, "scanned")
-    telling = scratch.write(_disclosing(scanned, scratch, threshold, support), "telling")
-    used = scanned.select("uid", F.explode(F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), F.lower))).alias("term"))
-    marked = scratch.write(used.join(telling, "term", "left_semi").select("uid").distinct(), "marked")
+    telling = scratch.write(_disclosing(scanned, scratch, threshold, support, class_support), "telling")
+    marked = scratch.write(scanned.select("uid", F.explode("terms").alias("term")).join(telling, "term", "left_semi").select("uid").distinct(), "marked")
     spans = _terms(scanned.join(marked, "uid", "left_semi").select("uid", "text", "base"), "uid").join(telling, "term")
-    spans = spans.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("start", "end", "ratio"))).alias("terms"))
-    found = scanned.join(spans, "uid", "left")
+    spans = spans.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("start", "end", "ratio"))).alias("found"))
     none = F.array().cast("array<struct<start:int,end:int,ratio:double>>")
-    return found.select("doc_id", "base", F.coalesce("terms", none).alias("terms"), *(["text"] if with_text else []))
+    return scanned.drop("terms").join(spans, "uid", "left").select("doc_id", "base", F.coalesce("found", none).alias("terms"), *(["text"] if with_text else []))
 
 
 def all_spans(base: Column, terms: Column) -> Column:

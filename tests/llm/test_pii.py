@@ -34,32 +34,36 @@ def base(text):
     return sorted(out)
 
 
-def terms(rows, window=120, threshold=0.9, support=3):
+def names(text):
+    out = set()
+    for a, kind, b in base(text):
+        value, k = text[a:b].lower(), KINDS[kind]
+        digits = re.sub("[^0-9]", "", value)
+        group = [value.split("@")[-1], ".".join(value.split(".")[:2]), digits[:6], digits[:4]][kind]
+        out |= {("entity", k, value), ("class", k, group), ("class", k), ("class",)}
+    return out
+
+
+def terms(rows, threshold=0.9, support=3, class_support=10):
+    """Spans of disclosing terms per row, straight from the definition, over whole texts."""
     docs = [t or "" for _, t in rows]
-    found, vocabulary, holders = [], Counter(), defaultdict(set)
-    pair_docs, pair_texts = defaultdict(set), defaultdict(set)
+    n, held, vocabulary, spans = len(docs), defaultdict(list), Counter(), []
+    pair_docs, pair_texts = Counter(), defaultdict(set)
     for k, t in enumerate(docs):
-        for w in {m[0] for m in re.finditer(r"[^\W\d_][^\W_]{2,}", t.lower())}:
-            vocabulary[w] += 1
-        spans = base(t)
-        for a, kind, b in spans:
-            low, high = max(0, a - window), min(len(t), b + window)
-            e = (kind, t[a:b].lower())
-            for m in re.finditer(r"[^\W\d_][^\W_]{2,}", t[low:high]):
-                x, y = low + m.start(), low + m.end()
-                if (x > low or not low) and (y < high or high == len(t)) and not any(x < d and y > c for c, _, d in spans):
-                    found.append((k, e, m[0].lower(), x, y))
-                    pair_docs[e, m[0].lower()].add(k)
-                    pair_texts[e, m[0].lower()].add(t)
-                    holders[e].add(k)
-    out = defaultdict(set)
-    n = len(docs)
-    for k, e, w, x, y in found:
-        if len(pair_texts[e, w]) >= support and len(holders[e]) < n:
-            ratio = math.log2(len(pair_docs[e, w]) * n / (len(holders[e]) * vocabulary[w])) / math.log2(n / len(holders[e]))
-            if ratio >= threshold:
-                out[k].add((x, 4, y))
-    return out
+        ids, words = base(t), [(m[0].lower(), *m.span()) for m in re.finditer(r"[^\W\d_][^\W_]{2,}", t)]
+        vocabulary.update({w for w, *_ in words})
+        spans.append([(w, x, y) for w, x, y in words if not any(x < d and y > c for c, _, d in ids)])
+        for e in names(t):
+            held[e].append(k)
+            for w in {w for w, *_ in spans[k]}:
+                pair_docs[e, w] += 1
+                pair_texts[e, w].add(t)
+    telling = set()
+    for (e, w), both in pair_docs.items():
+        if len(pair_texts[e, w]) >= (support if e[0] == "entity" else class_support) and len(held[e]) < n:
+            if math.log2(both * n / (len(held[e]) * vocabulary[w])) / math.log2(n / len(held[e])) >= threshold:
+                telling.add(w)
+    return {k: {(x, 4, y) for w, x, y in found if w in telling} for k, found in enumerate(spans)}
 
 
 def show(spans):
@@ -111,6 +115,28 @@ def test_terms_far_from_the_identifier_and_in_other_documents(spark):
     assert not any("quillfeather" in t.lower() for t in clean.values()) and clean[0] == rows[0][1]
 
 
+def test_terms_that_disclose_a_class(spark):
+    """Identifiers that are all unique: a term that stands only where one does is found by its class, others are left alone."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghijkl") for _ in range(6)) for _ in range(60)]
+    text = lambda: " ".join(rng.choice(words) for _ in range(25))
+    rows = [(k, text()) for k in range(300)]
+    rows += [(1000 + k, f"{text()} hotline {text()} +1 212 555 {k:04d}") for k in range(12)]
+    rows += [(2000 + k, f"{text()} user{k}@mail{k % 3}.org {['first', 'second', 'third'][k % 3]}") for k in range(36)]
+    rows += [(3000, "no number here but hotline"), (3001, None), (3002, ""), (None, "x hotline y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r.doc_id, tuple((t.start, t.end) for t in r.terms)) for r in disclosures(docs).collect())
+    want = terms(rows)
+    assert got == Counter((i, tuple(sorted((x, y) for x, _, y in want[k]))) for k, (i, _) in enumerate(rows))
+    assert sum(n for (i, t), n in got.items() if t and i and 2000 <= i < 3000) == 36
+    assert all(not t for i, t in got if i is not None and i < 300)
+
+
+def test_many_identifiers(spark):
+    docs = spark.createDataFrame([(k, " ".join(f"user{j}.{k}@mail.org word{j}" for j in range(1500))) for k in range(2)], "doc_id long, text string")
+    assert [r.n for r in disclosures(docs).select(F.size("base").alias("n")).collect()] == [1500, 1500]
+
+
 def test_query_shape(spark, tmp_path):
     from docketry.llm.queries import op5_disclosure_sanitising
 
