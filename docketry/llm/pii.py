@@ -134,7 +134,7 @@ def _disclosing(scanned: DataFrame, scratch: Scratch, threshold: float, support:
     return joined.select("term", ratio.alias("ratio")).where(F.col("ratio") >= threshold).groupBy("term").agg(F.max("ratio").alias("ratio"))
 
 
-def disclosures(docs: DataFrame, threshold: float = 0.9, support: int = 3, class_support: int = 10, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
+def disclosures(docs: DataFrame, threshold: float = 0.8, support: int = 3, class_support: int = 10, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
     """Per row: doc_id, base (identifier spans), terms (array of start, end, ratio)[, text]."""
     scratch = Scratch(docs.sparkSession, "pii")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))

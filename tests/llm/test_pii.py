@@ -44,7 +44,7 @@ def names(text):
     return out
 
 
-def terms(rows, threshold=0.9, support=3, class_support=10):
+def terms(rows, threshold=0.8, support=3, class_support=10):
     """Spans of disclosing terms per row, straight from the definition, over whole texts."""
     docs = [t or "" for _, t in rows]
     n, held, vocabulary, spans = len(docs), defaultdict(list), Counter(), []
