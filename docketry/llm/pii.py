@@ -7,13 +7,15 @@ then tells which ordinary terms reveal one: for each entity e and each term t ou
 counted that hold both, e, and t, anywhere in their whole text. A term discloses e as far as their pointwise mutual
 information reaches the entity's information content:
     ratio = log2(n(e,t) N / (n(e) n(t))) / log2(N / n(e)).
-From `threshold` on the term is generalised wherever it stands in any document, from `remove` on it is removed (a
+If that is at least `threshold` and at most `residue` bits of the entity are left to guess (-log2 n(e,t) / n(t)), the
+term is generalised wherever it stands in any document, from the ratio `remove` on it is removed (a
 term goes by its highest ratio); identifiers are replaced by their kind. A pair seen in fewer than `support` different
 texts is no evidence, for a class in fewer than `class_support`, as chance makes more of such pairs.
 
 Each text is scanned once, for its identifiers and its distinct terms. Texts with identifiers are shuffled once, to
-count equal ones together, and words only of texts that hold an identifier or a disclosing term; other shuffles carry
-spans, terms and counts with map-side combining. Entities in too few texts go before they meet terms, so a text full
+count equal ones together, and texts once to meet the disclosing terms they hold; other shuffles carry
+spans, terms and counts with map-side combining. Spans are listed in the row, in time linear in the text and quadratic
+in the number of spans alone. Entities in too few texts go before they meet terms, so a text full
 of unique identifiers makes no pairs, and joins on an entity have one row per entity on one side, so a frequent one
 only makes rows that adaptive execution may split. Patterns cannot backtrack over long runs.
 
@@ -36,6 +38,7 @@ CARD = r"[0-9](?:[ -]?+[0-9]){13,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 TERM = r"\p{L}[\p{L}\p{N}]{2,}+"
 SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
+TERMS = "array<struct<start:int,end:int,ratio:double>>"
 
 
 def find(text: Column, pattern: str) -> Column:
@@ -106,6 +109,24 @@ def _terms(rows: DataFrame, *key: str) -> DataFrame:
     return words.join(spans, list(key), "left").where(outside).select(*key, "term", "start", "end")
 
 
+def term_spans(text: Column, base: Column, telling: Column) -> Column:
+    """array<struct<start, end, ratio>> of the words among `telling` that are outside `base`."""
+
+    def placed(gaps: Column, words: Column, terms: Column) -> Column:
+        def step(acc: Column, k: Column) -> Column:
+            start = acc["at"] + F.length(F.get(gaps, k))
+            end = start + F.length(F.get(words, k))
+            nth = F.array_position(terms, F.lower(F.get(words, k)))
+            outside = ~F.exists(base, lambda b: (start < b["end"]) & (end > b["start"]))
+            span = F.struct(start.alias("start"), end.alias("end"), F.get(telling, nth.cast("int") - 1)["ratio"].alias("ratio"))
+            return F.struct(end.alias("at"), F.when((nth > 0) & outside, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+
+        none = F.struct(F.lit(0).alias("at"), F.array().cast(TERMS).alias("out"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(words) - 1), none, step)["out"]
+
+    return let(F.split(text, TERM, -1), lambda gaps: let(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), lambda words: let(F.transform(telling, lambda t: t["term"]), lambda terms: placed(gaps, words, terms))))
+
+
 def entities(base: Column) -> Column:
     """Names of the entities of a text: "=kind:value" for an identifier, "~..." for the classes it belongs to."""
     kinds = F.array(*map(F.lit, KINDS))
@@ -118,8 +139,8 @@ def entities(base: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(base, of)))
 
 
-def _disclosing(scanned: DataFrame, scratch: Scratch, threshold: float, support: int, class_support: int) -> DataFrame:
-    """(term, ratio) at or above the threshold, the highest over all entities; n counts documents, support different texts."""
+def _disclosing(scanned: DataFrame, scratch: Scratch, threshold: float, residue: float, support: int, class_support: int) -> DataFrame:
+    """(term, ratio) of the terms that disclose an entity, the highest over all entities; n counts documents, support different texts."""
     texts = scanned.where(F.size("base") > 0).groupBy("th").agg(F.count("*").alias("n"), F.first(F.struct("text", "base")).alias("f")).select("th", "n", "f.*")
     texts = scratch.write(texts, "texts")
     holders = scratch.write(texts.select("th", "n", F.explode(entities(F.col("base"))).alias("entity")), "holders")
@@ -131,22 +152,22 @@ def _disclosing(scanned: DataFrame, scratch: Scratch, threshold: float, support:
     every = F.lit(float(scanned.count()))
     ratio = F.log2(F.col("n_et") * every / (F.col("n_e") * F.col("n_t"))) / F.log2(every / F.col("n_e"))
     joined = pairs.where(F.col("n_e") < every).join(terms, "term")
-    return joined.select("term", ratio.alias("ratio")).where(F.col("ratio") >= threshold).groupBy("term").agg(F.max("ratio").alias("ratio"))
+    left = F.log2(F.col("n_t") / F.col("n_et"))
+    return joined.select("term", ratio.alias("ratio"), left.alias("left")).where((F.col("ratio") >= threshold) & (F.col("left") <= residue)).groupBy("term").agg(F.max("ratio").alias("ratio"))
 
 
-def disclosures(docs: DataFrame, threshold: float = 0.8, support: int = 3, class_support: int = 10, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
+def disclosures(docs: DataFrame, threshold: float = 0.8, residue: float = 1.0, support: int = 3, class_support: int = 10, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
     """Per row: doc_id, base (identifier spans), terms (array of start, end, ratio)[, text]."""
     scratch = Scratch(docs.sparkSession, "pii")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     words = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), F.lower))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumns({"base": identifiers(F.col("text")), "uid": F.monotonically_increasing_id(), "th": F.xxhash64("text"), "terms": words})
     scanned = scratch.write(rows, "scanned")
-    telling = scratch.write(_disclosing(scanned, scratch, threshold, support, class_support), "telling")
-    marked = scratch.write(scanned.select("uid", F.explode("terms").alias("term")).join(telling, "term", "left_semi").select("uid").distinct(), "marked")
-    spans = _terms(scanned.join(marked, "uid", "left_semi").select("uid", "text", "base"), "uid").join(telling, "term")
-    spans = spans.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("start", "end", "ratio"))).alias("found"))
-    none = F.array().cast("array<struct<start:int,end:int,ratio:double>>")
-    return scanned.drop("terms").join(spans, "uid", "left").select("doc_id", "base", F.coalesce("found", none).alias("terms"), *(["text"] if with_text else []))
+    telling = scratch.write(_disclosing(scanned, scratch, threshold, residue, support, class_support), "telling")
+    hits = scanned.select("uid", F.explode("terms").alias("term")).join(telling, "term")
+    marked = scratch.write(hits.groupBy("uid").agg(F.collect_list(F.struct("term", "ratio")).alias("telling")), "marked")  # of one document
+    found = scanned.drop("terms").join(marked, "uid", "left").withColumn("terms", F.when(F.col("telling").isNotNull(), term_spans(F.col("text"), F.col("base"), F.col("telling"))).otherwise(F.array().cast(TERMS)))
+    return found.select("doc_id", "base", "terms", *(["text"] if with_text else []))
 
 
 def all_spans(base: Column, terms: Column) -> Column:

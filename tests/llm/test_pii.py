@@ -44,7 +44,7 @@ def names(text):
     return out
 
 
-def terms(rows, threshold=0.8, support=3, class_support=10):
+def terms(rows, threshold=0.8, residue=1.0, support=3, class_support=10):
     """Spans of disclosing terms per row, straight from the definition, over whole texts."""
     docs = [t or "" for _, t in rows]
     n, held, vocabulary, spans = len(docs), defaultdict(list), Counter(), []
@@ -61,7 +61,7 @@ def terms(rows, threshold=0.8, support=3, class_support=10):
     telling = set()
     for (e, w), both in pair_docs.items():
         if len(pair_texts[e, w]) >= (support if e[0] == "entity" else class_support) and len(held[e]) < n:
-            if math.log2(both * n / (len(held[e]) * vocabulary[w])) / math.log2(n / len(held[e])) >= threshold:
+            if math.log2(both * n / (len(held[e]) * vocabulary[w])) / math.log2(n / len(held[e])) >= threshold and math.log2(vocabulary[w] / both) <= residue:
                 telling.add(w)
     return {k: {(x, 4, y) for w, x, y in found if w in telling} for k, found in enumerate(spans)}
 
