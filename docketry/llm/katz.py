@@ -15,10 +15,11 @@ meets the model the same way for each order: it sends its distinct n-grams, with
 documents and their lower-order probabilities, to buckets by history; buckets add the counts up, write the
 model tables (partitioned by order), give each n-gram a number that is small if it is frequent, and answer
 each chunk with its n-grams' counts and numbers and its histories' weights. So a frequent n-gram costs an
-entry per chunk, not per token. Histories that hold over 1/`HOT` of all training tokens (at most `HOT` of
-them, by counting, and the start mark) are spread over all buckets by their words; only their sums, at most
-`HOT` rows a bucket, are added up once more. The driver sees counts of counts and those sums, nothing else.
-Buckets grow in number with the corpus, so a task's memory does not.
+entry per chunk, not per token. Histories that stand for over an eighth of a bucket's n-grams (or 1/`HOT` of all training
+tokens, if that is more: so they are at most `HOT`, and the start mark) are spread over all buckets by their words; only
+their sums, at most `HOT` rows a bucket, are added up once more. The driver sees counts of counts and those sums,
+nothing else. Buckets and chunks grow in number with the corpus and each shuffle has a partition for each, so a
+task's memory does not grow until 1/`HOT` of all tokens fills a bucket.
 
 The text starts with a start mark, which is a history but no token, and ends with an end token.
 
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 
 from docketry.llm.common import Scratch
 
-HOT = 512
+HOT = 65_536
 END = np.uint64(0x9E3779B97F4A7C15)  # the end token's hash in round 1
 START = np.uint64(0)  # the number of the history before a text's first token; n-grams are numbered from 1
 CHUNK_NAMES = ["chunk", "docs", "words", "toks", "grams"]
@@ -180,8 +181,10 @@ class Chunk:
         count, number, weight, ratio = np.zeros(len(h), np.int64), np.zeros(len(h), np.uint64), np.zeros(len(h)), np.ones(len(h))
         told = {(a["bucket"], a["hot"]): a["body"] for a in answers}
         for bucket, is_hot, mine in slices(*plan.deal(order, h, w)):
-            c, g, *rest = unsqueeze(told[bucket, is_hot])
-            count[mine], number[mine] = c, g
+            c, *rest = unsqueeze(told[bucket, is_hot])
+            count[mine] = c
+            if order < plan.order:
+                number[mine] = rest.pop(0)
             if order > 1:
                 # the history's alpha, and what a seen count is divided by
                 _, size = runs(h[mine])
@@ -198,8 +201,8 @@ class Chunk:
 class Plan:
     """What is the same for all chunks: bucket numbers, hot histories and discounts per order, unigram facts."""
 
-    def __init__(self, buckets: int, train: int):
-        self.buckets, self.train, self.types, self.unknown, self.scale = buckets, train, 0, 1.0, 1.0
+    def __init__(self, order: int, buckets: int, train: int):
+        self.order, self.buckets, self.train, self.types, self.unknown, self.scale = order, buckets, train, 0, 1.0, 1.0
         self.hot: dict[int, np.ndarray] = {}
         self.d: dict[int, np.ndarray] = {}
 
@@ -391,7 +394,7 @@ def frequent(buckets: int, least: int):
     return make
 
 
-def answer(order: int, d: np.ndarray, hot: dict[int, tuple], buckets: int):
+def answer(order: int, d: np.ndarray, hot: dict[int, tuple], buckets: int, last: bool):
     def make(b: Bucket) -> pa.RecordBatch:
         start, size, c, kept, low = by_history(b.h, b.n, b.p, d)
         if order > 1 and hot:
@@ -402,7 +405,9 @@ def answer(order: int, d: np.ndarray, hot: dict[int, tuple], buckets: int):
         run_of = np.repeat(np.arange(len(start)), size)
         out = []
         for chunk, is_hot, mine in b.messages():
-            arrays = [least_kind(b.n[mine]), least_kind(number[mine])]
+            arrays = [least_kind(b.n[mine])]
+            if not last:  # nothing follows the highest order, so its n-grams need no numbers
+                arrays.append(least_kind(number[mine]))
             if order > 1:
                 heads = run_of[mine][runs(b.h[mine])[0]]
                 arrays += [alpha[heads], ratio[heads]]
@@ -416,7 +421,7 @@ def chunk_sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for got in batches:
         parts = [unsqueeze(x) for x in got.column(0).to_pylist()]
         tokens, train = (sum(int(s[keep(held)].sum()) for _, _, s, held in parts) for keep in (lambda h: h >= 0, lambda h: h == 0))
-        yield pa.RecordBatch.from_arrays([pa.array([tokens]), pa.array([train])], names=["tokens", "train"])
+        yield pa.RecordBatch.from_arrays([pa.array([tokens]), pa.array([train]), pa.array([len(parts)])], names=["tokens", "train", "chunks"])
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -440,25 +445,27 @@ def score(order: int, plan: Plan):
 class Katz:
     """Trains on the documents whose crc32(id) is not divisible by `folds`, and scores all."""
 
-    def __init__(self, docs: DataFrame, order: int = 2, folds: int = 10, most: int = 5, chunk_tokens: int = 2_000_000, bucket_grams: int = 2_000_000, id_col: str = "doc_id", text_col: str = "text"):
+    def __init__(self, docs: DataFrame, order: int = 3, folds: int = 10, most: int = 5, chunk_tokens: int = 2_000_000, bucket_grams: int = 2_000_000, id_col: str = "doc_id", text_col: str = "text"):
         self.scratch, self.order, self.most = Scratch(docs.sparkSession, "katz"), order, most
         slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
         self.chunks = self.scratch.write(slim.mapInArrow(chunks(folds, chunk_tokens), CHUNK), "chunks0")
-        totals = self.chunks.select("docs").mapInArrow(chunk_sizes, "tokens long, train long").agg(F.sum("tokens"), F.sum("train")).first()
-        self.plan = Plan(max(1, -(-int(totals[0] or 0) // bucket_grams)), int(totals[1] or 0))
+        totals = self.chunks.select("docs").mapInArrow(chunk_sizes, "tokens long, train long, chunks long").agg(F.sum("tokens"), F.sum("train"), F.sum("chunks")).first()
+        self.plan = Plan(order, max(1, -(-int(totals[0] or 0) // bucket_grams)), int(totals[1] or 0))
+        # counted in training tokens: a colder history is at most a small part of a bucket, unless the driver would see over HOT
+        self.hot_from, self.n_chunks = max(1, bucket_grams // 8, self.plan.train // HOT), max(1, int(totals[2]))
         self.tables: dict[int, DataFrame] = {}
         for k in range(1, order + 1):
             self._round(k)
 
     def _answered(self, answers: DataFrame) -> DataFrame:
         """Chunks, each with what the buckets answered."""
-        told = answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "hot", "body")).alias("answers"))
+        told = answers.repartition(self.n_chunks, "chunk").groupBy("chunk").agg(F.collect_list(F.struct("bucket", "hot", "body")).alias("answers"))
         return self.chunks.join(told, "chunk")
 
     def _round(self, k: int) -> None:
         plan, scratch, most = self.plan, self.scratch, self.most
         # the one shuffle of n-grams of this order
-        merged = scratch.write(self.chunks.mapInArrow(send(k, plan), MESSAGE).groupBy("bucket").applyInArrow(merge(), MERGED), f"merged{k}")
+        merged = scratch.write(self.chunks.mapInArrow(send(k, plan), MESSAGE).repartition(plan.buckets, "bucket").groupBy("bucket").applyInArrow(merge(), MERGED), f"merged{k}")
         scratch.tidy()
         self.tables[k] = table = scratch.write(merged.mapInArrow(each_bucket(count), "bucket int, history long, word long, n long"), f"order={k}")
         coc = {int(r.n): int(r.k) for r in table.where(F.col("n") <= most + 1).groupBy("n").agg(F.count("*").alias("k")).collect()}
@@ -474,10 +481,10 @@ class Katz:
             sums = merged.mapInArrow(each_bucket(hot_sums(d, plan.hot[k])), "history long, c double, kept double, low double")
             summed = sums.groupBy("history").agg(*[F.sum(c).alias(c) for c in ("c", "kept", "low")])
             hot = {int(np.int64(r.history).view(np.uint64)): (r.c, r.kept, r.low) for r in summed.collect()}  # at most HOT + 1 rows
-        self.answers = scratch.write(merged.mapInArrow(each_bucket(answer(k, d, hot, plan.buckets)), MESSAGE), f"answers{k}")
+        self.answers = scratch.write(merged.mapInArrow(each_bucket(answer(k, d, hot, plan.buckets, k == self.order)), MESSAGE), f"answers{k}")
         if k < self.order:
-            # histories of the next order with over 1/HOT of all training tokens, at most HOT, and the start mark
-            found = merged.mapInArrow(each_bucket(frequent(plan.buckets, max(1, plan.train // HOT))), "number long")
+            # histories of the next order that are too frequent for one bucket, at most HOT, and the start mark
+            found = merged.mapInArrow(each_bucket(frequent(plan.buckets, self.hot_from)), "number long")
             plan.hot[k + 1] = np.asarray([0, *(r.number for r in found.collect())], np.uint64)
         scratch.drop(f"merged{k}")
         if k < self.order:

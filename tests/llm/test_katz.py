@@ -6,7 +6,8 @@ from collections import Counter
 
 import pytest
 
-from docketry.llm.katz import Katz, discounts
+from docketry.llm import katz
+from docketry.llm.katz import Katz
 
 
 def held(i, folds=10):
@@ -17,6 +18,20 @@ def tokens(text):
     return [*re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")), "</s>"]
 
 
+def good_turing(n, most):
+    """Katz's ratio for counts 1 to `most`, from how many n-grams have each count: (c* / c - k) / (1 - k), where
+    c* = (c + 1) n[c + 1] / n[c] and k = (most + 1) n[most + 1] / n[1]; 1 where that is no share of a count."""
+    ratios = {}
+    for c in range(1, most + 1):
+        ratios[c] = 1.0
+        if n[1] and n[c]:
+            k = (most + 1) * n[most + 1] / n[1]
+            star = (c + 1) * n[c + 1] / n[c]
+            if k < 1 and 0 < (star / c - k) / (1 - k) <= 1:
+                ratios[c] = (star / c - k) / (1 - k)
+    return ratios
+
+
 class Brute:
     """The same model by plain dictionaries."""
 
@@ -28,7 +43,7 @@ class Brute:
                 for o in range(1, order + 1):
                     self.n[o][self.history(ts, k, o), ts[k]] += 1
         self.total = sum(map(len, train))
-        self.d = [None] + [discounts(dict(Counter(c.values())), most) for c in self.n[1:]]
+        self.d = [None] + [good_turing(Counter(c.values()), most) for c in self.n[1:]]
         self.most = most
         kept = sum(self.disc(1, c) for c in self.n[1].values())
         self.unknown, self.scale = (1 - kept / self.total, 1) if self.total and kept < self.total * (1 - 1e-15) else (1 / (self.total + 1), self.total / (self.total + 1))
@@ -45,9 +60,6 @@ class Brute:
     def disc(self, o, c):
         return (self.d[o][c] if c <= self.most else 1.0) * c
 
-    def shorter(self, h):
-        return ("<s>",) if h == ("<s>",) and self.order else h[1:] if h[0] != "<s>" else h
-
     def p(self, ts, k, o):
         h, w = self.history(ts, k, o), ts[k]
         return self.prob(h, w, o)
@@ -56,7 +68,7 @@ class Brute:
         if o == 1:
             c = self.n[1][(), w]
             return self.disc(1, c) * self.scale / self.total if c else self.unknown
-        low = lambda x: self.prob(h if h == ("<s>",) and o > 2 else h[1:], x, o - 1)
+        low = lambda x: self.prob(h if len(h) <= o - 2 else h[1:], x, o - 1)
         if (h, o) not in self.cache:
             seen = {x: c for (g, x), c in self.n[o].items() if g == h}
             c, kept, below = sum(seen.values()), sum(self.disc(o, c) for c in seen.values()), sum(low(x) for x in seen)
@@ -80,8 +92,9 @@ def corpus(seed=3, n=120):
     return rows + [(None, None), (None, "W1 w2"), (500, ""), (501, "x" * 5000), (502, "w1 w1 w1 É\x0bw2\x1cw3")] + [rows[4]] * 30
 
 
-@pytest.mark.parametrize("order", [1, 2, 3])
-def test_scores_match_plain_dictionaries(spark, order):
+@pytest.mark.parametrize("order,hot", [(1, 65536), (2, 65536), (3, 65536), (3, 40), (4, 65536)])
+def test_scores_match_plain_dictionaries(spark, order, hot, monkeypatch):
+    monkeypatch.setattr(katz, "HOT", hot)
     rows = corpus()
     docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, chunk string")
     model = Katz(docs.repartition(3), order=order, chunk_tokens=700, bucket_grams=900)
