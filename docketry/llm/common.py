@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
-import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,14 +10,18 @@ from pyspark.sql import functions as F
 
 #: White space that separates words in every operator of this package.
 WORD = r"[^\x20\x09-\x0D]+"
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 GAP = r"[\x20\x09-\x0D]+"
+#: Shuffle files go when the query that made them ends: each stage's result is a written table, nothing reads them again.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a local one is made only where the session names none (tests)."""
+    """The folder all executors share. Where the session names none, one is made in local mode; a cluster must name its own."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         at = tempfile.mkdtemp(prefix="docketry-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at
@@ -34,31 +36,20 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
         Scratch.opened.append(self.root)
+        spark.conf.set(CLEANUP, "true")
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def write(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
         """Write once and read back with the schema known, so no listing job infers it."""
-        # shuffle files of the write go when it ends: nothing reads them again
-        old = self.spark.conf.get(CLEANUP)
-        self.spark.conf.set(CLEANUP, "true")
         writer = df.write.mode("overwrite").option("compression", "zstd")
-        try:
-            (writer.partitionBy(*partition_by) if partition_by else writer).parquet(self.path(name))
-        finally:
-            self.spark.conf.set(CLEANUP, old)
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(self.path(name))
         return self.read(name, df)
 
     def read(self, name: str, like: DataFrame) -> DataFrame:
         return self.spark.read.schema(like.schema).parquet(self.path(name))
 
-    def tidy(self) -> None:
-        """Let Spark's cleaner free the shuffle files of finished jobs now, not at some later collection."""
-        gc.collect()
-        self.spark._jvm.System.gc()
-        time.sleep(0.5)  # the cleaner works in the background
-
     def drop(self, *names: str) -> None:
         """Free a table that nothing reads any more."""
         for name in names:

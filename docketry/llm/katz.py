@@ -452,7 +452,7 @@ class Katz:
         totals = self.chunks.select("docs").mapInArrow(chunk_sizes, "tokens long, train long, chunks long").agg(F.sum("tokens"), F.sum("train"), F.sum("chunks")).first()
         self.plan = Plan(order, max(1, -(-int(totals[0] or 0) // bucket_grams)), int(totals[1] or 0))
         # counted in training tokens: a colder history is at most a small part of a bucket, unless the driver would see over HOT
-        self.hot_from, self.n_chunks = max(1, bucket_grams // 8, self.plan.train // HOT), max(1, int(totals[2]))
+        self.hot_from, self.n_chunks = max(1, bucket_grams // 8, self.plan.train // HOT), max(1, int(totals[2] or 0))
         self.tables: dict[int, DataFrame] = {}
         for k in range(1, order + 1):
             self._round(k)
@@ -466,7 +466,6 @@ class Katz:
         plan, scratch, most = self.plan, self.scratch, self.most
         # the one shuffle of n-grams of this order
         merged = scratch.write(self.chunks.mapInArrow(send(k, plan), MESSAGE).repartition(plan.buckets, "bucket").groupBy("bucket").applyInArrow(merge(), MERGED), f"merged{k}")
-        scratch.tidy()
         self.tables[k] = table = scratch.write(merged.mapInArrow(each_bucket(count), "bucket int, history long, word long, n long"), f"order={k}")
         coc = {int(r.n): int(r.k) for r in table.where(F.col("n") <= most + 1).groupBy("n").agg(F.count("*").alias("k")).collect()}
         plan.d[k] = discounts(coc, most)
@@ -490,7 +489,6 @@ class Katz:
         if k < self.order:
             self.chunks = scratch.write(self._answered(self.answers).mapInArrow(move_up(k, plan), CHUNK), f"chunks{k}")
             scratch.drop(f"chunks{k - 1}", f"answers{k}")
-            scratch.tidy()
-
+    
     def scores(self) -> DataFrame:
         return self._answered(self.answers).mapInArrow(score(self.order, self.plan), SCORES)
