@@ -196,7 +196,7 @@ def answer(k: int, degree: int, beam: int):
     return run
 
 
-def nearest(vectors: DataFrame, queries: str = "vec_id % 20 = 0", k: int = 20, shard_size: int = 8192, block: int = 1024, degree: int = 32, build_beam: int = 64, beam: int = 96, alpha: float = 1.2, seed: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def nearest(vectors: DataFrame, queries: str = "vec_id % 20 = 0", k: int = 20, shard_size: int = 8192, block: int = 8192, degree: int = 64, build_beam: int = 64, beam: int = 256, alpha: float = 1.2, seed: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score; `queries` is a condition on vec_id."""
     scratch = Scratch(vectors.sparkSession, "ann")
     raw = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<float>").alias("vector"))

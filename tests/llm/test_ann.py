@@ -48,6 +48,25 @@ def test_recall_over_shards(spark):
     assert all(len(v) == 20 for v in got.values()) and np.mean(hits) >= 0.95
 
 
+def recall(spark, x, **settings):
+    """Share of the true 20 nearest found, over the queries."""
+    got = defaultdict(set)
+    for r in nearest(spark.createDataFrame(rows_of(x), "vec_id long, embedding array<float>, label int"), **settings).collect():
+        got[r.query_id].add(r.vec_id)
+    near = x.astype(np.float32).astype(float)
+    scores = near[::20] @ near.T
+    scores[np.arange(len(scores)), np.arange(0, len(x), 20)] = -np.inf
+    best = np.argsort(-scores, axis=1)[:, :20]
+    return np.mean([len(got[20 * k] & set(b.tolist())) / 20 for k, b in enumerate(best)])
+
+
+def test_recall_on_vectors_of_any_length(spark):
+    """Gaussian vectors as they come: no clusters, and lengths that decide much of the order. One shard, and six of them."""
+    x = np.random.default_rng(3).normal(size=(6000, 64))
+    assert recall(spark, x) >= 0.9
+    assert recall(spark, x, shard_size=1000, block=100) >= 0.95
+
+
 def test_degree_and_edges():
     g = Graph(np.random.default_rng(0).normal(size=(500, 8)).astype(np.float32), 16, 32, 1.2, 1)
     assert g.near.shape == (500, 16) and (g.near < 500).all() and (g.near != np.arange(500)[:, None]).all()
