@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from docketry.llm.common import Scratch
 
 BINS, LOW, HIGH = 2000, -1.0, 2.0
+#: Partial sums of a line on the way to its total.
+BRANCHES = 64
 STATS = ["log_chars", "log_words", "log_lines", "word_length", "word_spread", "distinct", "top_word", "repeated_pairs", "symbols", "punctuation", "digits", "upper", "shout", "bars", "high_bytes", "entropy", "squeeze", "line_repeats"]
 _GROUPS = {"symbols": b"#*$%&<>^~@_=", "punctuation": b".,;:'\"()-", "digits": b"0123456789", "upper": bytes(range(65, 91)), "shout": b"!?", "bars": b"|/\\{}[]"}
 _TABLE = np.zeros((256, len(_GROUPS) + 1))
@@ -112,6 +114,13 @@ def add_lines(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
     return pa.table({"line": pa.array([key[0].as_py()], pa.int32()), "sums": pa.array([total.tobytes()])})
 
 
+def summed(lines: DataFrame) -> DataFrame:
+    """The lines of all partitions added up as a tree: first `BRANCHES` sums of each line, then those."""
+    kind = "line int, sums binary"
+    some = lines.withColumn("branch", F.spark_partition_id() % BRANCHES).groupBy("line", "branch").applyInArrow(add_lines, kind)
+    return some.groupBy("line").applyInArrow(add_lines, kind)
+
+
 def isotonic(hits: np.ndarray, total: np.ndarray) -> np.ndarray:
     """Pool adjacent violators over bins in order; bins without rows are left out by the caller."""
     pools: list[list[float]] = []
@@ -157,7 +166,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, folds: int = 5, features:
     model = Model(np.asarray([v or 0.0 for v in facts[1 : k + 1]]), np.asarray([v or 0.0 for v in facts[k + 1 :]]), features, width, seed)
     if n:
         fit = train.where("fold <> 1")
-        lines = fit.mapInArrow(partial_sums(model), "line int, sums binary").groupBy("line").applyInArrow(add_lines, "line int, sums binary").collect()  # `features` + 1 rows
+        lines = summed(fit.mapInArrow(partial_sums(model), "line int, sums binary")).collect()  # `features` + 1 rows
         if lines:
             total = np.vstack([np.frombuffer(r.sums, np.float64) for r in sorted(lines, key=lambda r: r.line)])
             a = total[:, :-1].copy()
