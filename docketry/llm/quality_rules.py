@@ -66,9 +66,9 @@ def with_repeats(rows: DataFrame) -> DataFrame:
 def measured(docs: DataFrame, id_col: str, text_col: str, lang_col: str, source_col: str, also: tuple[str, ...] = ()) -> DataFrame:
     """Slim rows: id, group, base counts, base verdict, measures as sketch bins."""
     t = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    chars = lambda kept: F.length(F.regexp_replace("t", f"[^{kept}]+", "")).cast("long")
+    chars = lambda others: F.length(F.regexp_replace("t", f"{others}+", "")).cast("long")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(source_col).cast("string").alias("source"), *also, t.alias("t"))
-    rows = rows.withColumns({"ws": words_of(F.col("t")), "ls": F.filter(F.split("t", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")), "n_symbols": chars(r"#*$%&|<>"), "n_upper": chars("A-Z!"), "n_marks": chars(r"!-/:-@\[-`{-~")}).drop("t")
+    rows = rows.withColumns({"ws": words_of(F.col("t")), "ls": F.filter(F.split("t", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")), "n_symbols": chars(r"[^#*$%&|<>]"), "n_upper": chars("[^A-Z!]"), "n_marks": chars(r"\P{Punct}")}).drop("t")
     rows = rows.withColumns({"n_words": F.size("ws").cast("long"), "word_chars": F.length(F.array_join("ws", "")).cast("long"), "n_lines": F.size("ls").cast("long"), "n_dup_lines": (F.size("ls") - F.size(F.array_distinct("ls"))).cast("long")})
     rows = with_repeats(rows).drop("ws", "ls")
     share = lambda part, whole, scale: F.floor(scale * F.col(part) / F.greatest(F.lit(1), F.col(whole))).cast("long")
