@@ -130,7 +130,7 @@ def dedup_lines(docs: DataFrame, min_words: int = 3, id_col: str = "doc_id", tex
     scratch.drop("runs")
     # the row travels packed, so its columns may have any names
     packed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("id"), F.xxhash64(text).alias("th"))
-    joined = packed.join(gone, ["id", "th"], "left")
+    joined = packed.join(gone.hint("merge"), ["id", "th"], "left")  # what goes grows with the corpus: never broadcast it
     old, gone_lines = F.col("row")[text_col].cast("string"), F.col("gone")
     rebuilt = let(F.split(old, "\n", -1), lambda ls: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), gone_lines), lambda k: F.get(ls, k)), "\n"))
     cleaned = F.when(gone_lines.isNull(), old).otherwise(rebuilt)

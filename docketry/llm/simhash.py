@@ -320,7 +320,7 @@ def similar_links(keyed: DataFrame, nodes: DataFrame, width: int, scratch: Scrat
     groups = scratch.write(nodes.drop("keys").join(connected_components(meet, scratch), "node"), "groups")
     blocks = groups.groupBy("root").agg(F.ceil(F.sum("size") / F.lit(most)).cast("int").alias("blocks"))
     dealt = groups.join(blocks, "root").withColumn("b", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    texts = scratch.write(keyed.select("id", "th", "text").join(dealt.select("k.id", "k.th", "root", "node", "b", "blocks"), ["id", "th"]), "grouped_texts")
+    texts = scratch.write(keyed.select("id", "th", "text").join(dealt.select("k.id", "k.th", "root", "node", "b", "blocks").hint("merge"), ["id", "th"]), "grouped_texts")
     pairs = texts.select("root", "node", "text", "b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o"))
     pairs = pairs.select("root", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "node", "text")
     return pairs.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(verified(width), "u long, v long")
@@ -340,7 +340,7 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id"
     best = per_doc.groupBy("root").agg(F.min(F.struct("id", "th", "n")).alias("k"))
     keep = scratch.write(best.select("k.id", "k.th", "k.n"), "keep")
     rows = keyed.drop("text")
-    kept = rows.join(keep.where("n = 1"), ["id", "th"], "left_semi")
+    kept = rows.join(keep.where("n = 1").hint("merge"), ["id", "th"], "left_semi")  # what stays grows with the corpus: never broadcast it
     repeated = keep.where("n > 1")
     if not repeated.isEmpty():
         kept = kept.unionByName(rows.join(repeated, ["id", "th"], "left_semi").groupBy("id", "th").agg(F.first("row").alias("row")))
