@@ -7,24 +7,126 @@ from dataclasses import dataclass, field, fields, replace
 from pathlib import Path
 
 # Table ids looked for per form and group, in order.
-PROFILES: dict[str, dict[str, str]] = {
+PROFILES: dict[str, dict[str, list[str]]] = {
     "10-K": {
-        "balance_sheets": "consolidated_balance_sheets consolidated_statement_of_financial_position balance_sheets statement_of_financial_position balance_sheet",
-        "income_statements": "consolidated_statements_of_operations consolidated_statements_of_income statements_of_operations statements_of_income income_statements consolidated_statements_of_earnings statements_of_earnings consolidated_statements_of_comprehensive_income statements_of_comprehensive_income",
-        "cash_flow_statements": "consolidated_statements_of_cash_flows statements_of_cash_flows cash_flow_statements",
-        "equity_statements": "consolidated_statements_of_changes_in_equity statements_of_changes_in_equity consolidated_statements_of_stockholders_equity statements_of_stockholders_equity consolidated_statements_of_shareholders_equity statements_of_shareholders_equity consolidated_statements_of_redeemable_noncontrolling_interest_and_equity consolidated_statements_of_partners_equity statements_of_partners_equity consolidated_statements_of_members_equity statements_of_members_equity",
-        "other_financial": "financial_statements financial_highlights selected_financial_data financial_data ratio_of_earnings unaudited_quarterly_financial_data summary_of_significant_accounting_policies",
-        "notes_and_supplements": "notes_to_consolidated_financial_statements notes_to_financial_statements schedule_of_valuation_and_qualifying_accounts summary_of_quarterly_financial_data schedule_of_investee_earnings",
+        "balance_sheets": [
+            "consolidated_balance_sheets",
+            "consolidated_statement_of_financial_position",
+            "balance_sheets",
+            "statement_of_financial_position",
+            "balance_sheet",
+        ],
+        "income_statements": [
+            "consolidated_statements_of_operations",
+            "consolidated_statements_of_income",
+            "statements_of_operations",
+            "statements_of_income",
+            "income_statements",
+            "consolidated_statements_of_earnings",
+            "statements_of_earnings",
+            "consolidated_statements_of_comprehensive_income",
+            "statements_of_comprehensive_income",
+        ],
+        "cash_flow_statements": [
+            "consolidated_statements_of_cash_flows",
+            "statements_of_cash_flows",
+            "cash_flow_statements",
+        ],
+        "equity_statements": [
+            "consolidated_statements_of_changes_in_equity",
+            "statements_of_changes_in_equity",
+            "consolidated_statements_of_stockholders_equity",
+            "statements_of_stockholders_equity",
+            "consolidated_statements_of_shareholders_equity",
+            "statements_of_shareholders_equity",
+            "consolidated_statements_of_redeemable_noncontrolling_interest_and_equity",
+            "consolidated_statements_of_partners_equity",
+            "statements_of_partners_equity",
+            "consolidated_statements_of_members_equity",
+            "statements_of_members_equity",
+        ],
+        "other_financial": [
+            "financial_statements",
+            "financial_highlights",
+            "selected_financial_data",
+            "financial_data",
+            "ratio_of_earnings",
+            "unaudited_quarterly_financial_data",
+            "summary_of_significant_accounting_policies",
+        ],
+        "notes_and_supplements": [
+            "notes_to_consolidated_financial_statements",
+            "notes_to_financial_statements",
+            "schedule_of_valuation_and_qualifying_accounts",
+            "summary_of_quarterly_financial_data",
+            "schedule_of_investee_earnings",
+        ],
     },
     "10-Q": {
-        "balance_sheets": "consolidated_balance_sheets balance_sheets statement_of_financial_position consolidated_statement_of_financial_position",
-        "income_statements": "consolidated_statements_of_operations statements_of_operations consolidated_statements_of_income statements_of_income consolidated_statements_of_earnings statements_of_earnings consolidated_statements_of_comprehensive_income statements_of_comprehensive_income",
-        "cash_flow_statements": "consolidated_statements_of_cash_flows statements_of_cash_flows",
-        "equity_statements": "consolidated_statements_of_changes_in_equity statements_of_changes_in_equity consolidated_statements_of_stockholders_equity statements_of_stockholders_equity consolidated_statements_of_shareholders_equity statements_of_shareholders_equity",
-        "management_discussion": "management_discussion_and_analysis management_discussion",
+        "balance_sheets": [
+            "consolidated_balance_sheets",
+            "balance_sheets",
+            "statement_of_financial_position",
+            "consolidated_statement_of_financial_position",
+        ],
+        "income_statements": [
+            "consolidated_statements_of_operations",
+            "statements_of_operations",
+            "consolidated_statements_of_income",
+            "statements_of_income",
+            "consolidated_statements_of_earnings",
+            "statements_of_earnings",
+            "consolidated_statements_of_comprehensive_income",
+            "statements_of_comprehensive_income",
+        ],
+        "cash_flow_statements": [
+            "consolidated_statements_of_cash_flows",
+            "statements_of_cash_flows",
+        ],
+        "equity_statements": [
+            "consolidated_statements_of_changes_in_equity",
+            "statements_of_changes_in_equity",
+            "consolidated_statements_of_stockholders_equity",
+            "statements_of_stockholders_equity",
+            "consolidated_statements_of_shareholders_equity",
+            "statements_of_shareholders_equity",
+        ],
+        "management_discussion": [
+            "management_discussion_and_analysis",
+            "management_discussion",
+        ],
+    },
+    "8-K": {
+        "sections": [
+            "financial_statements",
+            "pro_forma_financial_information",
+            "exhibits",
+            "signature",
+            "press_release",
+            "material_agreement_table",
+            "amendments_table",
+        ],
+    },
+    "20-F": {
+        "sections": [
+            "consolidated_balance_sheets",
+            "balance_sheets",
+            "statement_of_financial_position",
+            "consolidated_statements_of_operations",
+            "statements_of_operations",
+            "consolidated_statements_of_income",
+            "statements_of_income",
+            "consolidated_statements_of_comprehensive_income",
+            "statements_of_comprehensive_income",
+            "consolidated_statements_of_cash_flows",
+            "statements_of_cash_flows",
+            "consolidated_statements_of_changes_in_equity",
+            "statements_of_changes_in_equity",
+            "exchange_rates",
+            "selected_financial_data",
+            "operating_and_financial_review",
+        ],
     },
-    "8-K": {"sections": "financial_statements pro_forma_financial_information exhibits signature press_release material_agreement_table amendments_table"},
-    "20-F": {"sections": "consolidated_balance_sheets balance_sheets statement_of_financial_position consolidated_statements_of_operations statements_of_operations consolidated_statements_of_income statements_of_income consolidated_statements_of_comprehensive_income statements_of_comprehensive_income consolidated_statements_of_cash_flows statements_of_cash_flows consolidated_statements_of_changes_in_equity statements_of_changes_in_equity exchange_rates selected_financial_data operating_and_financial_review"},
 }
 
 # What a line of a plain-text table looks like.
@@ -39,7 +141,7 @@ class Settings:
     extract_text_tables: bool = True
     max_tables_per_document: int | None = None
     text_table_patterns: tuple[str, ...] = TEXT_TABLE_PATTERNS
-    profiles: dict[str, tuple[str, ...]] = field(default_factory=lambda: {form: tuple(" ".join(groups.values()).split()) for form, groups in PROFILES.items()})
+    profiles: dict[str, tuple[str, ...]] = field(default_factory=lambda: {form: tuple(i for ids in groups.values() for i in ids) for form, groups in PROFILES.items()})
     download_folder: str = "filings"
     catalog_path: str = "catalog"
     log_level: str = "INFO"

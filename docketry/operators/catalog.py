@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketry import schemas
@@ -116,6 +118,11 @@ def sync_counts(discovered: DataFrame, added: DataFrame) -> DataFrame:
     return discovered.select("ticker", "filing_type").distinct().join(n, ["ticker", "filing_type"], "left").withColumn("n", F.coalesce("n", F.lit(0)).cast("bigint"))
 
 
+def sync_summary(counts: DataFrame) -> DataFrame:
+    """AGG-7: what a sync added in all, and for how many tickers it looked."""
+    return counts.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("added"), F.countDistinct("ticker").alias("tickers"))
+
+
 def selected(filing_id: int | None = None, ticker: str | None = None, accession_number: str | None = None, file_path: str | None = None) -> Column:
     """Which rows a mark hits: the id, else ticker and accession number, else the path."""
     if filing_id is not None:
@@ -137,6 +144,12 @@ def mark(catalog: DataFrame, hit: Column, parsed: bool, status: str | None = "su
 # --- the stored catalog -------------------------------------------------------------------------------------
 
 
+def _batched(rows: Iterable, size: int) -> Iterator[list]:
+    rows = iter(rows)
+    while some := list(islice(rows, size)):
+        yield some
+
+
 class Catalog:
     """A catalog in a folder."""
 
@@ -151,7 +164,12 @@ class Catalog:
 
     def filings(self) -> DataFrame:
         """The current rows; older logs may lack columns, which read as NULL."""
-        latest = lambda df: df.withColumn("_n", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("op_ts")))).where("_n = 1").drop("_n", "op_ts")
+
+        def latest(log: DataFrame) -> DataFrame:
+            """The last entry of each id (of entries of one moment the greatest), combined before the shuffle."""
+            last = log.groupBy("id").agg(F.max(F.struct("op_ts", *[c for c in log.columns if c not in ("id", "op_ts")])).alias("last"))
+            return last.select("id", "last.*").drop("op_ts")
+
         status = latest(self._log("status_log", schemas.STATUS_LOG))
         rows = latest(self._log("filings_log", schemas.FILINGS_LOG)).join(status, "id", "left")
         return rows.withColumn("parsed", F.coalesce("parsed", F.lit(False))).select(*[c.split()[0] for c in schemas.CATALOG.split(", ")])
@@ -170,19 +188,27 @@ class Catalog:
         rows.unpersist()
         return n
 
-    def sync(self, root: str, as_of: dt.date, tickers: list[str] | None = None) -> DataFrame:
-        """DML-4: one listing, paths the catalog lacks (R2), and only then their content."""
+    def sync(self, root: str, as_of: dt.date, tickers: list[str] | None = None, batch: int = 10_000) -> DataFrame:
+        """DML-4: one listing, paths the catalog lacks (R2), and only then their content: fresh paths go to the reader in
+        batches, so a sync reads what is new and no more; the first sync of a tree, which reads most of it, reads it at once."""
         from docketry.sources.filings import read_text, tree
 
         listed = tree(self.spark, root)
         listed = listed.where(F.col("ticker").isin(*tickers)) if tickers else listed
         fresh = new_rows(listed, self.filings(), ("ticker", "filing_type", "file_path"))
-        paths = fresh.select("ticker", "filing_type", "file_path")
-        found = described(read_text(self.spark, root + "/*/*/*").join(paths, "file_path"), as_of)
+        paths = fresh.select("ticker", "filing_type", "file_path").cache()
+        if 2 * paths.count() > listed.count():
+            parts = [read_text(self.spark, root + "/*/*/*")]
+        else:
+            rows = iter([r.file_path for r in some] for some in _batched(paths.select("file_path").toLocalIterator(), batch))
+            parts = [read_text(self.spark, names) for names in rows]
+        found = [described(text.join(paths, "file_path"), as_of) for text in parts] or [described(paths.withColumn("content_text", F.lit("")), as_of)]
         # staged first: the log may then grow without changing what was found, even if executors are lost
         staged = f"{self.location}/staged/{uuid.uuid4().hex}"
-        found.write.parquet(staged)
-        found = self.spark.read.schema(found.schema).parquet(staged)
+        for part in found:
+            part.write.mode("append").parquet(staged)
+        paths.unpersist()
+        found = self.spark.read.schema(found[0].schema).parquet(staged)
         self.append(found)
         return sync_counts(listed, found)
 

@@ -7,6 +7,7 @@ block becomes its `error` column and does not fail the task.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -14,13 +15,38 @@ from pyspark.sql import functions as F
 
 from docketry import schemas
 from docketry.config import Settings
+from docketry.functions.text import NOISE
 from docketry.operators.htmltree import Node, parse
 
 # Words of statements that name tables, and starts of numbered parts.
 STATEMENTS = ("balance sheet", "statement of operations", "income statement", "statement of cash flow", "statement of equity", "financial position")
 MORE_STATEMENTS = ("statement of earnings", "statement of financial condition")
-ITEMS = tuple(f"Item {n}." for n in "1 1A 1B 2 3 4 5 6 7 7A 8 9 9A 9B 10 11 12 13 14 15".split()) + tuple(f"PART {n}" for n in ("I", "II", "III", "IV"))
-NOISE = re.compile(r"\[\w+ Top\]"), re.compile(r"\[Table of Contents\]"), re.compile(r"\[Data_Table_start\].*?\[Data_Table_end\]"), re.compile("Click here to view")
+ITEMS = (
+    "Item 1.",
+    "Item 1A.",
+    "Item 1B.",
+    "Item 2.",
+    "Item 3.",
+    "Item 4.",
+    "Item 5.",
+    "Item 6.",
+    "Item 7.",
+    "Item 7A.",
+    "Item 8.",
+    "Item 9.",
+    "Item 9A.",
+    "Item 9B.",
+    "Item 10.",
+    "Item 11.",
+    "Item 12.",
+    "Item 13.",
+    "Item 14.",
+    "Item 15.",
+    "PART I",
+    "PART II",
+    "PART III",
+    "PART IV",
+)
 HEADINGS = ("h1", "h2", "h3", "h4", "h5")
 TITLE_TAGS = frozenset(("h1", "h2", "h3", "h4", "p", "div", "strong", "b"))
 SHORT = 100
@@ -29,7 +55,7 @@ SHORT = 100
 def clean(text: str) -> str:
     text = " ".join(text.split())
     for noise in NOISE:
-        text = noise.sub("", text)
+        text = re.sub(noise.removeprefix("(?U)"), "", text)  # word classes are Unicode's here without the flag
     return text
 
 
@@ -74,6 +100,7 @@ class Page:
     def __init__(self, text: str):
         self.nodes = list(parse(text).walk())
         self.tables = [n for n in self.nodes if n.tag == "table"]
+        self._orders = [t.order for t in self.tables]  # ascending, as nodes are walked in order
         self._grids: dict[int, list[list[str]]] = {}
 
     def grid(self, table: Node) -> list[list[str]]:
@@ -82,7 +109,8 @@ class Page:
         return self._grids[table.order]
 
     def next_table(self, node: Node) -> Node | None:
-        return next((t for t in self.tables if t.order > node.order), None)
+        at = bisect_right(self._orders, node.order)
+        return self.tables[at] if at < len(self.tables) else None
 
 
 def html_tables(page: Page, ids: tuple[str, ...]) -> list[tuple[str, str, list[list[str]]]]:

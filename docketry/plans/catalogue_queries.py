@@ -1,13 +1,15 @@
 """Registered queries of the filing operators over the supplied tables, each beside its SQL oracle.
 
 The supplied tables hold no filings, so views with the same expressions on both engines stand in: orders as
-catalog rows, pages wrapped as filing dumps, document lines as table rows. What the tables cannot show (HTML
-and text tables, fallback sections) runs on the fixtures at the end, without an oracle.
+catalog rows, pages wrapped as filing dumps, document lines as table rows, orders of a customer as HTML and text
+tables, the words of documents as headings and paragraphs. The odd cases run on the fixtures at the end.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -208,6 +210,11 @@ def sync_counts(spark, sf_dir):
     return C.sync_counts(rows, C.new_rows(rows, _known(spark, sf_dir), ("ticker", "filing_type", "file_path")))
 
 
+@query(f"WITH {FILINGS_SQL} SELECT (SELECT count(*) FROM filings WHERE id % 2 = 0) AS added, (SELECT count(DISTINCT ticker) FROM filings) AS tickers")
+def sync_summary(spark, sf_dir):
+    return C.sync_summary(sync_counts(spark, sf_dir))
+
+
 @query(f"""WITH {FILINGS_SQL} SELECT id, ticker, filing_type, filing_date, file_path, accession_number, download_date, parsed OR hit AS parsed, CASE WHEN hit THEN DATE '2002-01-01' ELSE parse_date END AS parse_date,
   CASE WHEN hit THEN 'failed' ELSE parse_status END AS parse_status FROM (SELECT *, ticker = 'C1' AND accession_number LIKE '1-23-%' AS hit FROM filings)""")
 def mark_parsed(spark, sf_dir):
@@ -283,6 +290,29 @@ def filing_types(spark, sf_dir):
     return spark.createDataFrame([(t,) for t in V.FILING_TYPES], "filing_type string")
 
 
+def _store(spark) -> str:
+    """A new folder for a stored catalog, where the session's executors share one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="docketry-")
+    return f"{base.rstrip('/')}/catalog-{uuid.uuid4().hex}"
+
+
+@query(f"""WITH {FILINGS_SQL} SELECT id, ticker, filing_type, filing_date, file_path, accession_number, CASE WHEN filing_type = 'FILING_8K' THEN DATE '2002-01-01' ELSE download_date END AS download_date,
+  filing_type = 'FILING_10K' AS parsed, CASE WHEN filing_type = 'FILING_10K' THEN DATE '2002-01-01' END AS parse_date, CASE WHEN filing_type = 'FILING_10K' THEN 'success' END AS parse_status FROM filings""")
+def stored_catalog(spark, sf_dir):
+    """Through the stored logs: append, a later entry of some rows, mark, take some marks back, compact, read."""
+    rows = filings_v(spark, sf_dir)
+    catalog = C.Catalog(spark, _store(spark))
+    catalog.append(rows)
+    catalog.append(rows.where("filing_type = 'FILING_8K'").withColumn("download_date", F.lit(AS_OF)))
+    catalog.set_status(F.col("filing_type").isin("FILING_10K", "FILING_10Q"), True, as_of=AS_OF)
+    catalog.set_status(F.col("filing_type") == "FILING_10Q", False)
+    return catalog.compact(_store(spark)).filings()
+
+
 # --- header, blocks -----------------------------------------------------------------------------------------
 
 
@@ -392,6 +422,48 @@ def section_titles(spark, sf_dir):
     return found.where("level = 1").select("page_id", "title", "level")
 
 
+def _customers(spark, sf_dir) -> DataFrame:
+    """(id, rows): the orders of each customer by key, as (key, date, whole price)."""
+    o = load(spark, sf_dir, "orders").select("o_custkey", F.struct(F.col("o_orderkey").cast("bigint").alias("k"), F.to_date("o_orderdate").cast("string").alias("d"), F.floor("o_totalprice").cast("string").alias("p")).alias("r"))
+    return o.groupBy(F.col("o_custkey").cast("bigint").alias("id")).agg(F.sort_array(F.collect_list("r")).alias("rows"))
+
+
+@query("""SELECT o_custkey::BIGINT AS id, 1 AS table_ordinal, 'Orders of customer ' || o_custkey AS table_name, 'all' AS match_tier, (count(*) + 1)::INT AS n_rows, 3 AS n_cols, true AS has_header,
+  'Order~Date & day~Price~' || string_agg(o_orderkey || '~' || strftime(o_orderdate, '%Y-%m-%d') || '~' || floor(o_totalprice)::BIGINT, '~' ORDER BY o_orderkey) AS cells FROM orders GROUP BY o_custkey""")
+def html_tables_of_orders(spark, sf_dir):
+    """A page per customer with a title, a table of the orders and noise around; cells carry tags and entities."""
+    cell = lambda r: F.concat(F.lit("<tr><td> "), r["k"].cast("string"), F.lit("</td><td><b>"), r["d"], F.lit("</b><td>\n"), r["p"], F.lit("</tr>"))
+    html = F.concat(F.lit("<html><body><h1>Report</h1><div>intro of it</div><p>Orders of customer "), F.col("id").cast("string"), F.lit("</p><table border=1><tr><th>Order</th><th>Date &amp; day</th><th>Price</th></tr>"), F.array_join(F.transform("rows", cell), ""), F.lit("</table><p>after</p></body></html>"))
+    found = X.tables_of(_extracted(_customers(spark, sf_dir).withColumn("html", html), ["id"], "html", F.lit("UNKNOWN")), ["id"], "html")
+    return found.select("id", "table_ordinal", "table_name", "match_tier", "n_rows", "n_cols", "has_header", F.array_join(F.flatten("rows"), "~").alias("cells"))
+
+
+@query("""SELECT o_custkey::BIGINT AS id, 1 AS table_ordinal, 'CONSOLIDATED BALANCE SHEET' AS table_name, (count(*) + 1)::INT AS n_rows,
+  '----------~------~------~' || string_agg('o' || o_orderkey || '~' || strftime(o_orderdate, '%Y') || '~' || floor(o_totalprice)::BIGINT, '~' ORDER BY o_orderkey) AS cells FROM orders GROUP BY o_custkey HAVING count(*) > 1""")
+def text_tables_of_orders(spark, sf_dir):
+    """A plain-text table of each customer's orders; one row under the rule is too few for a table."""
+    line = lambda r: F.concat(F.lit("o"), r["k"].cast("string"), F.lit("     "), F.substring(r["d"], 1, 4), F.lit("   "), r["p"])
+    text = F.concat(F.lit("CONSOLIDATED BALANCE SHEET\n\n----------  ------  ------\n"), F.array_join(F.transform("rows", line), "\n"), F.lit("\n\n\nEnd."))
+    found = X.tables_of(_extracted(_customers(spark, sf_dir).withColumn("text", text), ["id"], "text", F.lit("UNKNOWN")), ["id"], "text")
+    return found.select("id", "table_ordinal", "table_name", "n_rows", F.array_join(F.flatten("rows"), "~").alias("cells"))
+
+
+_ASCII = r"trim(regexp_replace(regexp_replace({}, '[^A-Za-z ]+', ' ', 'g'), ' +', ' ', 'g'))"
+
+
+@query(rf"""WITH w AS (SELECT doc_id, string_split({_ASCII.format("text")}, ' ') AS w FROM documents WHERE text IS NOT NULL), h AS (SELECT doc_id, w, unnest([0, 1, 2]) AS k FROM w WHERE len(w) >= 60),
+p AS (SELECT doc_id, k, k % 2 + 1 AS level, array_to_string(w[20 * k + 1 : 20 * k + 3], ' ') AS title, array_to_string(w[20 * k + 4 : 20 * k + 20], ' ') AS content, array_to_string(w[1:3], ' ') AS first_title FROM h)
+SELECT doc_id, (k + 1)::INT AS section_number, title, level::INT AS level, CASE WHEN k = 1 THEN first_title END AS parent_title, content FROM p""")
+def sections_of_documents(spark, sf_dir):
+    """The first sixty words of each document as three headed sections, with markup inside and between the paragraphs."""
+    plain = F.trim(F.regexp_replace(F.regexp_replace("text", "[^A-Za-z ]+", " "), " +", " "))
+    rows = load(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.split(plain, " ").alias("w")).where(F.size("w") >= 60)
+    part = lambda a, n: F.array_join(F.slice("w", a + 1, n), " ")
+    headed = [F.concat(F.lit(f"<h{k % 2 + 1}> "), part(20 * k, 3), F.lit(f"</h{k % 2 + 1}>\n<p>"), part(20 * k + 3, 9), F.lit("</p><!-- none --><div><p>"), part(20 * k + 12, 4), F.lit("</p>\n<i>"), part(20 * k + 16, 4), F.lit("</i></div>")) for k in range(3)]
+    pages = rows.select("doc_id", F.concat(F.lit("<html><body>"), *headed, F.lit("</body></html>")).alias("html"))
+    return X.sections_of(_extracted(pages, ["doc_id"], "html", F.lit("UNKNOWN")), ["doc_id"]).select("doc_id", "section_number", "title", "level", "parent_title", "content")
+
+
 # Fixtures, as the supplied pages have no tables and no lines of text tables.
 FIXTURES = [
     (1, "UNKNOWN", "<p>Revenue by segment</p><table><tr><th colspan=2>Segment</th><th>2023</th></tr><tr><td>A</td><td>x</td><td>1</td></tr></table>"),

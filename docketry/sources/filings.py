@@ -29,7 +29,7 @@ def files(spark: SparkSession, path: str) -> DataFrame:
     fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
     if "*" not in path and not fs.exists(hadoop):
         raise FileNotFoundError(path)
-    reader = spark.read.format("binaryFile")
+    reader = spark.read.format("binaryFile").option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
     if "*" not in path and fs.getFileStatus(hadoop).isDirectory():
         reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt")
     return reader.load(path).withColumnRenamed("path", "file_path")
@@ -41,7 +41,8 @@ def tree(spark: SparkSession, root: str) -> DataFrame:
     return listed.select(H.path_part(F.col("file_path"), 2).alias("ticker"), H.path_part(F.col("file_path"), 1).alias("filing_type"), "file_path", "length")
 
 
-def read_text(spark: SparkSession, path: str) -> DataFrame:
+def read_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file_path, content_text) of a path, a pattern or a list of paths."""
     listed = spark.read.format("binaryFile").load(path).withColumnRenamed("path", "file_path")
     return listed.select("file_path", decoded(F.col("content")).alias("content_text"))
 
@@ -75,6 +76,9 @@ def parse_filings(spark: SparkSession, path: str, settings: Settings | None = No
     """Parse one file or a directory of files. Blocks are dealt anew before extraction, as files cannot be split."""
     settings = settings or Settings()
     source = files(spark, path)
+    # the file index, which the driver has anyway: a file that is empty or cannot be read gives no row when read
+    listed = spark.createDataFrame([(f,) for f in source.inputFiles()], "uri string")
+    every = listed.select(F.regexp_replace(F.url_decode(F.replace("uri", F.lit("+"), F.lit("%2B"))), "^file:///", "file:/").alias("file_path"))
     if not source.select("file_path").head(1):
         raise ValueError(f"no *.txt files in {path}")
     above = H.path_part(F.col("file_path"), 2)
@@ -92,7 +96,11 @@ def parse_filings(spark: SparkSession, path: str, settings: Settings | None = No
         F.min_by("doc_cik", F.when(F.col("doc_cik").isNotNull(), F.col("doc_ordinal"))).alias("_cik"),
     )
     metadata = header.join(per_file, "file_path", "left").withColumn("cik", F.coalesce("cik", "_cik"))
-    metadata = metadata.withColumns({"tables_count": F.coalesce("tables_count", F.lit(0)), "sections_count": F.coalesce("sections_count", F.lit(0)), "document_types": F.coalesce("document_types", F.array().cast("array<string>"))}).drop("_cik", "errors")
-    results = metadata.select("file_path", F.col("mapped_ticker").alias("ticker"), F.lit("success").alias("status"), F.lit(None).cast("string").alias("error"))
+    metadata = metadata.withColumns({"tables_count": F.coalesce("tables_count", F.lit(0)), "sections_count": F.coalesce("sections_count", F.lit(0)), "document_types": F.coalesce("document_types", F.array().cast("array<string>"))}).drop("_cik")
+    # a file that was listed and not read failed; errors within blocks are told and do not fail a file
+    done = metadata.select("file_path", F.col("mapped_ticker").alias("ticker"), F.nullif("errors", F.lit("")).alias("errors"), F.lit(True).alias("done"))
+    status = F.when(F.col("done"), "success").otherwise("failed")
+    results = every.join(done, "file_path", "left").select("file_path", "ticker", status.alias("status"), F.when(F.col("done"), F.col("errors")).otherwise("empty or cannot be read").alias("error"))
+    metadata = metadata.drop("errors")
     sections = X.sections_of(extracted, [*keys, "ticker", "doc_cik"]).withColumnRenamed("doc_cik", "cik")
     return ParsedFilings(metadata.drop("mapped_ticker"), extracted, X.tables_of(extracted, keys, "html"), X.tables_of(extracted, keys, "text"), sections, results)

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from docketry import schemas
 from docketry.operators import catalog as C
@@ -163,3 +164,29 @@ def test_fetch_and_stream(spark, tmp_path):
     (root / "BBB" / "FILING_8K" / "later.txt").write_text(HEAD.format(20, 5))
     catalog_stream(spark, str(root), cat, f"{tmp_path}/ck", D(2023, 1, 1)).awaitTermination()
     assert cat.filings().count() == n + 1
+
+
+def test_sync_reads_only_fresh_paths(spark, tmp_path, monkeypatch):
+    from docketry.sources import filings as S
+
+    root = tmp_path / "tree"
+    text = "FILED AS OF DATE: 20210102\nACCESSION NUMBER: 0-21-{}\n"
+    for k in range(6):
+        at = root / f"T{k % 2}" / "FILING_8K"
+        at.mkdir(parents=True, exist_ok=True)
+        (at / f"{k}.txt").write_text(text.format(k))
+    store = C.Catalog(spark, str(tmp_path / "store"))
+    day = dt.date(2021, 2, 1)
+    assert C.sync_summary(store.sync(str(root), day)).first().asDict() == {"added": 6, "tickers": 2}
+    for k in (7, 9, 11):
+        (root / "T1" / "FILING_8K" / f"{k}.txt").write_text(text.format(k))
+    asked, read = [], S.read_text
+    monkeypatch.setattr(S, "read_text", lambda session, path: asked.append(path) or read(session, path))
+    assert {(r.ticker, r.n) for r in store.sync(str(root), day, batch=2).collect()} == {("T0", 0), ("T1", 3)}
+    assert sorted(p.rsplit("/", 1)[1] for some in asked for p in some) == ["11.txt", "7.txt", "9.txt"] and [len(some) for some in asked] == [2, 1]
+    assert C.sync_summary(store.sync(str(root), day)).first().asDict() == {"added": 0, "tickers": 2}
+    assert store.filings().count() == 9
+    # entries of one moment: the same row is read each time, and the latest wins
+    row = store.filings().where("accession_number = '0-21-7'")
+    store.append(row.withColumn("filing_type", F.lit("FILING_4")))
+    assert store.filings().where("accession_number = '0-21-7'").first().filing_type == "FILING_4" and store.filings().count() == 9

@@ -106,3 +106,19 @@ def test_entry(spark):
     df = E.entry(spark)
     assert df.columns == ["page_id", "section_number", "title", "level", "parent_title", "content_length"] and df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_a_file_that_cannot_be_read_fails_alone(spark, tmp_path):
+    """One row per listed file; a bad one is told and the others are parsed. Errors within blocks fail no file."""
+    import os
+
+    folder = tmp_path / "AAA" / "FILING_10K"
+    folder.mkdir(parents=True)
+    (folder / "good.txt").write_text("ACCESSION NUMBER: 1-2-3\n<DOCUMENT>\n<TYPE>10-K\n<TEXT><h1>Title</h1><p>Body</p></TEXT></DOCUMENT>")
+    (folder / "bad +%20é.txt").write_text("ACCESSION NUMBER: 3-4-5\n")
+    parsed = parse_filings(spark, str(tmp_path))
+    os.remove(folder / "bad +%20é.txt")  # listed, and gone when it is read
+    rows = {r.file_path.rsplit("/", 1)[1]: (r.status, r.error) for r in parsed.results.collect()}
+    assert rows == {"good.txt": ("success", None), "bad +%20é.txt": ("failed", "empty or cannot be read")}
+    assert C.batch_summary(parsed.results).first().asDict() == {"total": 2, "successful": 1, "failed": 1}
+    assert [r.accession_number for r in parsed.metadata.collect()] == ["1-2-3"]
