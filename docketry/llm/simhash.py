@@ -15,7 +15,8 @@ nothing is capped. Tasks emit links that span each posting, not all pairs.
 
 `drop_near_duplicates`, a stage on word shingles, has a rule of its own: Jaccard similarity of at least 0.8. That is
 about 9 of 64 bits, too far for the index above, so its index holds bands of minimum hashes; what meets there is
-compared by the shingle sets themselves.
+compared by the shingle sets themselves: all with the least node of their key first, which settles groups of near
+copies in linear time, then within each key only those that differ from it.
 
 Edge cases: null, empty and blank texts have fingerprint zero and link like others; repeated rows each get
 their row; a null id gets its component's least known id (null if it has none); empty tables give no rows.
@@ -262,22 +263,27 @@ def indexed(width: int):
     return run
 
 
-def similar_spanning(names: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Links that connect what Jaccard similarities of at least 0.8 connect among the sets."""
+def alike(both, one, other):
+    """Whether sets of these sizes with `both` shared are at least 0.8 alike by Jaccard: both / (one + other - both) >= 0.8."""
+    return 9 * both >= 4 * (one + other)
+
+
+def similar_spanning(names: list[int], sets: list[np.ndarray], pivots: int) -> list[tuple[int, int]]:
+    """Links that connect what similarities with one of the first `pivots` sets connect; the others count as connected."""
     size = np.asarray([len(s) for s in sets], np.int64)
     ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
     own = np.split(ids, np.cumsum(size)[:-1])
     mark, out = np.zeros(int(ids.max()) + 1, np.int8), []
     rest = np.arange(len(sets))
     flat, starts = ids, np.cumsum(size) - size
-    while len(rest):
+    while len(rest) and rest[0] < pivots:
         front, rest, flat, starts = [int(rest[0])], rest[1:], flat[size[rest[0]] :], starts[1:] - size[rest[0]]
         while front and len(rest):
             one = front.pop()
             mark[own[one]] = 1
             both = np.add.reduceat(mark[flat], starts, dtype=np.int64)
             mark[own[one]] = 0
-            hit = 9 * both >= 4 * (size[one] + size[rest])  # both / (a + b - both) >= 0.8
+            hit = alike(both, size[one], size[rest])
             if hit.any():
                 new = rest[hit].tolist()
                 out += [(names[one], names[x]) for x in new]
@@ -287,46 +293,107 @@ def similar_spanning(names: list[int], sets: list[np.ndarray]) -> list[tuple[int
     return out
 
 
+def against_hub(width: int):
+    """Stream of (hub, salt, first, node, text) sorted so that each group opens with the hub -> links (u, v) with it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.empty(0, np.uint64)
+        for batch in batches:
+            found = []
+            for hub, _, first, node, text in zip(*(c.to_pylist() for c in batch.columns)):
+                mine = shingle_set(text, width)[1]
+                if first:
+                    own = mine
+                elif alike(len(np.intersect1d(own, mine, assume_unique=True)), len(own), len(mine)):
+                    found.append((hub, node))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], names=["u", "v"])
+
+    return run
+
+
 def verified(width: int):
-    """Stream of (root, i, j, node, text) rows sorted by root, i, j -> links (u, v) of true similarity."""
+    """Stream of (key, i, j, pivot, node, text) rows, grouped by key, i, j with pivots first -> links (u, v) of true similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, {}
+        now, held, pivots = None, {}, 0
 
         def links() -> Iterator[pa.RecordBatch]:
-            if len(held) > 1 and (found := similar_spanning(list(held), list(held.values()))):
+            if len(held) > 1 and (found := similar_spanning(list(held), list(held.values()), pivots)):
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], names=["u", "v"])
 
         for batch in batches:
-            for root, i, j, node, text in zip(*(c.to_pylist() for c in batch.columns)):
-                if (root, i, j) != now:
+            for key, i, j, pivot, node, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if (key, i, j) != now:
                     yield from links()
-                    now, held = (root, i, j), {}
-                if node not in held:
-                    held[node] = shingle_set(text, width)[1]
+                    now, held, pivots = (key, i, j), {}, 0
+                held[node] = shingle_set(text, width)[1]
+                pivots += pivot
         yield from links()
 
     return run
 
 
-def similar_links(keyed: DataFrame, nodes: DataFrame, width: int, scratch: Scratch, most: int) -> DataFrame:
-    """Nodes that meet under a key, together with all that these meet, are compared by their sets: links (u, v).
+def hub_links(met: DataFrame, texts: DataFrame, width: int, spread: int) -> DataFrame:
+    """Links of each key's hub, its least node, with the nodes that meet it and are similar; linear in what meets."""
+    star = met.groupBy("hub", "node").agg(F.first("size").alias("size"))
+    salts = star.groupBy("hub").agg(F.ceil(F.sum("size") / F.lit(spread)).cast("int").alias("salts"))
+    members = star.join(salts, "hub").select("hub", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt"), F.lit(False).alias("first"), "node")
+    heads = salts.select("hub", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(True).alias("first"), F.col("hub").alias("node"))
+    rows = members.unionByName(heads).join(texts, "node").select("hub", "salt", "first", "node", "text")
+    return rows.repartition("hub", "salt").sortWithinPartitions("hub", "salt", F.desc("first")).mapInArrow(against_hub(width), "u long, v long")
 
-    A group of more than `most` shingles is dealt into blocks and every two blocks are compared, so memory is bounded.
-    """
-    posted = nodes.select("node", F.explode("keys").alias("key"))
-    hubs = posted.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("other")).where("hub <> other").select("key", "hub")
-    meet = posted.join(hubs, "key").where("node <> hub").select(F.col("hub").alias("u"), F.col("node").alias("v"))
-    groups = scratch.write(nodes.drop("keys").join(connected_components(meet, scratch), "node"), "groups")
-    blocks = groups.groupBy("root").agg(F.ceil(F.sum("size") / F.lit(most)).cast("int").alias("blocks"))
-    dealt = groups.join(blocks, "root").withColumn("b", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    texts = scratch.write(keyed.select("id", "th", "text").join(dealt.select("k.id", "k.th", "root", "node", "b", "blocks").hint("merge"), ["id", "th"]), "grouped_texts")
-    pairs = texts.select("root", "node", "text", "b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o"))
-    pairs = pairs.select("root", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "node", "text")
-    return pairs.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(verified(width), "u long, v long")
 
+def unsettled(met: DataFrame, roots: DataFrame, scratch: Scratch, most: int) -> DataFrame:
+    """(key, i, j, pivot, node): what of a key's nodes has to be compared yet.
 
-def drop_near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text", most: int = 8_000_000) -> DataFrame:
+    Nodes that the hubs' links connect with their key's hub need no links among themselves. The others, the pivots,
+    are compared with each other and with these, in blocks of at most `most` shingles. Keys with the same nodes are
+    compared once.
+    """
+    root = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+    judged = met.join(root("node"), "node", "left").join(root("hub"), "hub", "left")
+    judged = judged.select("key", "hub", "node", "size", F.coalesce("node_root", "node").alias("root"), F.coalesce("hub_root", "hub").alias("hub_root"))
+    judged = scratch.write(judged.withColumn("pivot", F.col("root") != F.col("hub_root")), "judged")
+    blocks = lambda mine: F.ceil(F.coalesce(F.sum(F.when(mine, F.col("size"))), F.lit(0)) / F.lit(most)).cast("int")
+    pivot = F.col("pivot")
+    stats = judged.groupBy("key").agg(F.first("hub").alias("hub"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("node", "pivot")).alias("sign"), blocks(pivot).alias("p"), blocks(~pivot).alias("q"), F.min(F.when(pivot, F.col("root"))).alias("lo"), F.max(F.when(pivot, F.col("root"))).alias("hi"))
+    once = stats.where("p > 0 and (q > 0 or lo <> hi)").groupBy("hub", "n", "sign").agg(F.min(F.struct("key", "p", "q")).alias("k")).select("k.*")
+    dealt = judged.select("key", "node", "pivot").join(once, "key").withColumn("b", F.pmod(F.xxhash64("node"), F.when(pivot, F.col("p")).otherwise(F.col("q"))).cast("int"))
+    pair = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    b, p, q = F.col("b"), F.col("p"), F.col("q")
+    with_pivots = F.transform(F.filter(upto("p"), lambda o: (o != b) | (q == 0)), lambda o: pair(F.least(b, o), F.greatest(b, o)))
+    with_rest = F.when(q > 0, F.transform(upto("q"), lambda s: pair(b, p + s))).otherwise(F.array().cast("array<struct<i:int,j:int>>"))
+    places = F.when(pivot, F.concat(with_pivots, with_rest)).otherwise(F.transform(upto("p"), lambda o: pair(o, p + b)))
+    return dealt.select("key", "pivot", "node", F.explode(places).alias("at")).select("key", "at.i", "at.j", "pivot", "node")
+
+
+def similar_roots(keyed: DataFrame, nodes: DataFrame, width: int, scratch: Scratch, most: int, spread: int) -> DataFrame:
+    """(node, root) of the components that similarities of nodes meeting under a key make; only linked nodes appear.
+
+    First every node is compared with the hubs of its keys, which settles groups of near copies in linear time.
+    Only nodes that this leaves apart from their hub are compared further, within each key.
+    """
+    spark = keyed.sparkSession
+    posted = nodes.select("node", "size", F.explode("keys").alias("key"))
+    hubs = posted.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("other")).where("hub <> other").select("key", "hub")
+    met = scratch.write(posted.join(hubs, "key").where("node <> hub"), "met")
+    asked = met.select("node").unionByName(met.select(F.col("hub").alias("node"))).distinct()
+    places = nodes.select("node", "k.id", "k.th").join(asked, "node")
+    texts = keyed.select("id", "th", "text").join(places.hint("merge"), ["id", "th"]).groupBy("node").agg(F.first("text").alias("text"))
+    texts = scratch.write(texts, "texts")
+    links = scratch.write(hub_links(met, texts, width, spread), "hub_links")
+    roots = connected_components(links, Scratch(spark, "neardup_hubs"))
+    rest = scratch.write(unsettled(met, roots, scratch, most), "unsettled")
+    if rest.isEmpty():
+        return roots
+    rows = rest.join(texts, "node").select("key", "i", "j", "pivot", "node", "text")
+    more = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", F.desc("pivot")).mapInArrow(verified(width), "u long, v long")
+    return connected_components(links.unionByName(scratch.write(more, "more_links")), Scratch(spark, "neardup_links"))
+
+
+def drop_near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text", most: int = 8_000_000, spread: int = 250_000) -> DataFrame:
     """`docs` with one row of each component of shingle Jaccard >= 0.8: that of the least id (null last), ties by a hash of the text."""
     scratch, last = Scratch(docs.sparkSession, "neardup"), 2**63 - 1
     # the row travels packed, so its columns may have any names
@@ -334,7 +401,7 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id"
     keyed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(last)).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
     each = scratch.write(keyed.select("id", "th", "text").mapInArrow(indexed(width), "id long, th long, node long, size long, keys array<long>"), "indexed")
     nodes = scratch.write(each.groupBy("node").agg(F.min(F.struct("id", "th")).alias("k"), F.first("size").alias("size"), F.first("keys").alias("keys")), "nodes")
-    roots = connected_components(similar_links(keyed, nodes, width, scratch, most), Scratch(docs.sparkSession, "neardup_links"))
+    roots = similar_roots(keyed, nodes, width, scratch, most, spread)
     found = each.select("id", "th", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     per_doc = found.groupBy("root", "id", "th").agg(F.count("*").alias("n"))
     best = per_doc.groupBy("root").agg(F.min(F.struct("id", "th", "n")).alias("k"))

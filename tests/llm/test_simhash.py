@@ -101,12 +101,8 @@ def grams(text):
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
 
 
-def test_similar_texts_go_as_brute_force_jaccard_says(spark):
-    rng, rows = random.Random(8), []
-    for k in range(60):
-        base = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([6, 40, 120, 700]))]
-        for share in (0, 0.005, 0.01, 0.02, 0.03, 0.05):
-            rows.append((rng.randrange(10**9), " ".join(f"e{rng.randrange(10**6)}" if rng.random() < share else w for w in base)))
+def brute_kept(rows):
+    """Least id of each component of all pairs of Jaccard >= 0.8."""
     sets = {i: grams(t) for i, t in rows}
     root = {i: i for i in sets}
 
@@ -119,11 +115,51 @@ def test_similar_texts_go_as_brute_force_jaccard_says(spark):
         for b in sets:
             if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) and find(a) != find(b):
                 root[max(find(a), find(b))] = min(find(a), find(b))
-    want = sorted(i for i in sets if find(i) == i)
+    return sorted(i for i in sets if find(i) == i)
+
+
+def test_similar_texts_go_as_brute_force_jaccard_says(spark):
+    rng, rows = random.Random(8), []
+    for k in range(60):
+        base = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([6, 40, 120, 700]))]
+        for share in (0, 0.005, 0.01, 0.02, 0.03, 0.05):
+            rows.append((rng.randrange(10**9), " ".join(f"e{rng.randrange(10**6)}" if rng.random() < share else w for w in base)))
+    want = brute_kept(rows)
     assert 60 < len(want) < 330
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     for most in (8_000_000, 400):
-        assert sorted(r.doc_id for r in S.drop_near_duplicates(docs, most=most).collect()) == want
+        assert sorted(r.doc_id for r in S.drop_near_duplicates(docs, most=most, spread=most).collect()) == want
+
+
+def test_chains_and_large_groups_of_near_copies(spark):
+    """Texts that meet under a key and differ from its hub: chains of small steps, and a large group with looser copies beside it."""
+    rng, rows = random.Random(9), []
+    for _ in range(12):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+        for step in range(12):  # neighbours share all but a stretch, ends share little
+            rows.append((rng.randrange(10**9), " ".join(words)))
+            words = words[:]
+            words[12 * step : 12 * step + rng.choice([4, 8, 12])] = [f"x{rng.randrange(10**6)}" for _ in range(8)]
+    base = [f"b{i}" for i in range(200)]
+    for k in range(150):
+        text = base[:]
+        for _ in range(rng.choice([1, 1, 1, 2, 5, 8])):
+            text[rng.randrange(200)] = f"y{rng.randrange(10**6)}"
+        rows.append((rng.randrange(10**9), " ".join(text)))
+    want = brute_kept(rows)
+    assert 3 < len(want) < 200
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for most in (8_000_000, 1000):
+        assert sorted(r.doc_id for r in S.drop_near_duplicates(docs, most=most, spread=most).collect()) == want
+
+
+def test_pivots_and_the_rest():
+    """Every link of a pivot counts, through others too; what only the rest connects among itself is left out."""
+    of = lambda *xs: np.asarray(sorted(xs), np.uint64)
+    one, two, far = of(*range(20)), of(*range(1, 21)), of(*range(100, 120))
+    assert S.similar_spanning([1, 2, 3], [one, two, far], 1) == [(1, 2)]
+    assert S.similar_spanning([3, 1, 2], [far, one, two], 1) == []
+    assert S.similar_spanning([1, 2, 4], [one, two, of(*range(3, 23))], 1) == [(1, 2), (2, 4)]
 
 
 def test_empty(spark):
