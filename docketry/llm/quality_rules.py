@@ -156,13 +156,12 @@ def quality_verdicts(docs: DataFrame, min_docs: int = 200, id_col: str = "doc_id
 def filter_documents(docs: DataFrame, min_docs: int = 200, **columns: str) -> DataFrame:
     """The rows of `docs` that pass, with their columns as they were.
 
-    Slim measures are written for the sketches and measured anew beside the texts for the verdict: that costs
-    CPU time but neither a shuffle nor a second copy of the texts, which would stay on disk for the stages after.
+    Each text is measured once, and its row written beside the measures: the sketches then read the slim columns
+    alone, and the verdict neither measures again nor shuffles a text. Callers release that copy.
     """
     scratch = Scratch(docs.sparkSession, "quality")
     names = {"id_col": "doc_id", "text_col": "text", "lang_col": "lang", "source_col": "source"} | columns
-    rows = scratch.write(measured(docs, **names), "measures")
-    limits = scratch.write(fences(sketches(rows), min_docs), "limits")
     packed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), *[F.col(names[k]).alias(k) for k in names])
-    joined, kept = _judged(measured(packed, **{k: k for k in names}, also=("_row",)), limits)
+    rows = scratch.write(measured(packed, **{k: k for k in names}, also=("_row",)), "measures")
+    joined, kept = _judged(rows, scratch.write(fences(sketches(rows), min_docs), "limits"))
     return joined.where(kept).select("_row.*")
