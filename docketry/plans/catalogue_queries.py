@@ -410,12 +410,18 @@ def _extracted(frame: DataFrame, keys: list[str], text: str, form: Column) -> Da
     return frame.select(*keys, X.extracted(F.col(text), form, Settings()).alias("x"))
 
 
-@query()
+_PLAIN = r"""regexp_replace(replace(regexp_replace(regexp_replace(trim(regexp_replace({}, '\s+', ' ', 'g')), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;', '"'), '&amp;?', '&', 'g')"""
+_BELOW_TITLE = _PLAIN.format(r"regexp_replace(regexp_extract(html, '(?s)</h1>(.*?)</article>', 1), '<[^>]*>', ' ', 'g')")
+
+
+@query(rf"""WITH s AS (SELECT page_id, {_PLAIN.format("regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1)")} AS title, {_BELOW_TITLE} AS content FROM pages)
+SELECT page_id, 1 AS section_number, title, 1 AS level, NULL::VARCHAR AS parent_title, length(content)::INT AS content_length FROM s WHERE title <> '' AND content <> ''""")
 def sections(spark, sf_dir):
+    """Each page has one <h1>, whose section is the rest of its article; bold lines alone in a paragraph have nothing below them."""
     return X.sections_of(_extracted(load(spark, sf_dir, "pages"), ["page_id"], "html", F.lit("UNKNOWN")), ["page_id"]).select("page_id", "section_number", "title", "level", "parent_title", F.length("content").alias("content_length"))
 
 
-@query(r"SELECT page_id, replace(replace(replace(trim(regexp_replace(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), '\s+', ' ', 'g')), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS title, 1 AS level FROM pages")
+@query(f"SELECT page_id, {_PLAIN.format("regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1)")} AS title, 1 AS level FROM pages")
 def section_titles(spark, sf_dir):
     """Top-level titles; each page has one <h1>."""
     found = X.sections_of(_extracted(load(spark, sf_dir, "pages"), ["page_id"], "html", F.lit("UNKNOWN")), ["page_id"])
