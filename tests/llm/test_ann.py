@@ -2,7 +2,9 @@ import math
 from collections import defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
+from docketry.llm import ann
 from docketry.llm.ann import Graph, nearest
 
 
@@ -67,6 +69,26 @@ def test_recall_on_vectors_of_any_length(spark):
     assert recall(spark, x, shard_size=1000, block=100) >= 0.95
 
 
+def test_work_does_not_grow_with_queries_times_shards(spark):
+    """Sixty shards of clustered vectors: a query visits a few parts, as many as a sample's exact answers ask for, and finds its answers."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(60, 32))[rng.integers(0, 60, 12000)] * 2 + rng.normal(size=(12000, 32))
+    assert recall(spark, x, shard_size=200) >= 0.9
+    nodes = spark.createDataFrame(rows_of(x), "vec_id long, vector array<float>, dim int").withColumns({"dim": F.size("vector"), "h": F.xxhash64("vector")})
+    centres = ann.fit_centres(nodes, 200, 5)
+    placed = nodes.mapInArrow(ann.dealt(centres), "vec_id long, vector array<float>, dim int, h long, part int")
+    asked = nodes.where("vec_id % 20 = 0").selectExpr("vec_id as query_id", "vector", "dim", "vec_id as query")
+    visits = ann.visits_of(placed, asked, centres, 20)
+    assert len(centres[32][0]) == 60 and ann.FEW <= visits[32] <= 30
+    assert asked.mapInArrow(ann.routed(centres, visits), "query_id long, vector array<float>, dim int, query long, part int, nth int").count() == 600 * visits[32]
+
+
+def test_recall_over_many_parts_without_clusters(spark):
+    x = np.random.default_rng(5).normal(size=(6000, 64))
+    assert recall(spark, x, shard_size=200, block=50) >= 0.9
+    assert recall(spark, x / np.linalg.norm(x, axis=1, keepdims=True), shard_size=200) >= 0.9
+
+
 def test_degree_and_edges():
     g = Graph(np.random.default_rng(0).normal(size=(500, 8)).astype(np.float32), 16, 32, 1.2, 1)
     assert g.near.shape == (500, 16) and (g.near < 500).all() and (g.near != np.arange(500)[:, None]).all()
