@@ -14,9 +14,12 @@ is linear in the block and bounded by 2^24 entries, so no group is ever compared
 nothing is capped. Tasks emit links that span each posting, not all pairs.
 
 `drop_near_duplicates`, a stage on word shingles, has a rule of its own: Jaccard similarity of at least 0.8. That is
-about 9 of 64 bits, too far for the index above, so its index holds bands of minimum hashes; what meets there is
-compared by the shingle sets themselves: all with the least node of their key first, which settles groups of near
-copies in linear time, then within each key only those that differ from it.
+about 9 of 64 bits, too far for 64 bits to guarantee a shared byte, so its SimHash fingerprints are wider: WIDE positional
+bytes, by the same majority of the shingles' hash bits. The inverted index holds each text under PLACES pairs of byte
+positions. In a posting the shared positional bytes of each pair are counted, the key's and those of a window behind it;
+pairs under WIDE_BYTES, or with more than WIDE_BITS differing bits in the window, are dropped. What the rest connect is a
+group, and groups are verified by the shingle sets themselves: all with the least node of their group first, which settles
+near copies in linear time, then within each group only those that differ from it.
 
 Edge cases: null, empty and blank texts have fingerprint zero and link like others; repeated rows each get
 their row; a null id gets its component's least known id (null if it has none); empty tables give no rows.
@@ -228,9 +231,13 @@ def near_duplicates(docs: DataFrame, width: int = 3, id_col: str = "doc_id", tex
     return rows.join(named, "fp").select("doc_id", "fp", "component_id", "root", *also)
 
 
-#: Minimum hashes of the filter: BANDS index keys of ROWS each. A pair of Jaccard 0.8 shares no key with probability 3e-6.
-BANDS, ROWS = 32, 5
-TURNS = np.asarray([[xxhash.xxh64_intdigest(f"{k}:{i}") for i in range(BANDS * ROWS)] for k in "ab"], np.uint64)[:, :, None] | np.uint64(1)
+#: Wide fingerprints: byte positions, the pairs of them that are keys, and the passes that index them.
+PLACES, PASSES, WINDOW = 160, 5, 16
+WIDE = 2 * PLACES
+#: The count filter: least shared bytes, of the key's two and the window's, and most differing bits in the window's 128.
+WIDE_BYTES, WIDE_BITS = 3, 40
+TURNS = np.asarray([xxhash.xxh64_intdigest(f"wide:{i}") for i in range(WIDE // 8)], np.uint64) | np.uint64(1)
+MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def shingle_set(text: str | None, width: int) -> tuple[int, np.ndarray]:
@@ -240,29 +247,140 @@ def shingle_set(text: str | None, width: int) -> tuple[int, np.ndarray]:
     return name, np.unique(np.frombuffer(shingles(words, width), np.uint64)) if words else np.empty(0, np.uint64)
 
 
-def index_keys(grams: np.ndarray) -> list[int]:
-    """One key for each band of minimum hashes of a set; none for an empty set."""
+def wide_fingerprint(grams: np.ndarray) -> bytes:
+    """WIDE bytes; a bit is set if it is set in over half the shingles' hashes, which are drawn out to that width. None for an empty set."""
     if not len(grams):
-        return []
-    least = np.full(BANDS * ROWS, 2**64 - 1, np.uint64)
-    for at in range(0, len(grams), 512):
-        np.minimum(least, ((grams[None, at : at + 512] ^ TURNS[0]) * TURNS[1]).min(axis=1), out=least)
-    return [xxhash.xxh64_intdigest(least[k * ROWS : (k + 1) * ROWS].tobytes(), k) - 2**63 for k in range(BANDS)]
+        return b""
+    counts = np.zeros(8 * WIDE, np.int64)
+    for at in range(0, len(grams), 255):  # so many that their sum is a byte
+        x = grams[at : at + 255, None] * TURNS
+        x = (x ^ (x >> np.uint64(32))) * MIX
+        x ^= x >> np.uint64(29)
+        counts += np.unpackbits(x.view(np.uint8), axis=1).sum(axis=0, dtype=np.uint8)
+    return np.packbits(2 * counts > len(grams)).tobytes()
 
 
 def indexed(width: int):
-    """(id, th, text) -> (id, th, node, size, keys); texts of the same words are one node."""
+    """(id, th, text) -> (id, th, node, size, fp); texts of the same words are one node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t, width) for t in batch.column(2).to_pylist()]
             node = np.fromiter((n for n, _ in sets), np.uint64, len(sets)).view(np.int64)
-            keys = pa.array([index_keys(g) for _, g in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(node), pa.array([len(g) for _, g in sets], pa.int64()), keys], names=["id", "th", "node", "size", "keys"])
+            fps = pa.array([wide_fingerprint(g) for _, g in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(node), pa.array([len(g) for _, g in sets], pa.int64()), fps], names=["id", "th", "node", "size", "fp"])
 
     return run
 
 
+def postings(places: range):
+    """(node, size, fp) -> (key, node, size, w0, w1) for each place: its number and two bytes, and the window behind them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for a in range(0, whole.num_rows, 2048):
+                batch = whole.slice(a, 2048)
+                node, size = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+                fps = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(-1, WIDE)
+                fps = np.ascontiguousarray(np.column_stack([fps, fps[:, : WINDOW + 2]]))
+                out = []
+                for p in places:
+                    key = p << 16 | fps[:, 2 * p].astype(np.int64) << 8 | fps[:, 2 * p + 1]
+                    window = np.ascontiguousarray(fps[:, 2 * p + 2 : 2 * p + 2 + WINDOW]).view(np.int64)
+                    out.append((key, node, size, window[:, 0], window[:, 1]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["key", "node", "size", "w0", "w1"])
+
+    return run
+
+
+def wide_tallied(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Which pairs of one posting share enough positional bytes, the key's two included, and differ in few enough bits of the window."""
+    low, shared, apart = np.uint64(0x7F7F7F7F7F7F7F7F), 2, 0
+    for u, v in zip(a, b):
+        x = u ^ v
+        shared = shared + np.bitwise_count(~((((x & low) + low) | x) | low))
+        apart = apart + np.bitwise_count(x)
+    return (shared >= WIDE_BYTES) & (apart <= WIDE_BITS)
+
+
+def posting_groups(most: int = 1024):
+    """Stream of (key, node, size, w0, w1) rows sorted by key -> (key, hub, node, size): the groups that tallied pairs connect within a posting.
+
+    A group's hub is its least node; each of its other nodes is a row, and `key` tells groups apart.
+    Pairs of a posting of up to `most` are taken for all postings at once; longer ones, as near copies make, are
+    searched from a member at a time, each reached member leaving what is still to be compared.
+    """
+
+    def solve(keys: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, w0: np.ndarray, w1: np.ndarray) -> pa.RecordBatch | None:
+        edge = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        size = np.diff(np.append(edge, len(keys)))
+        links, at = [], np.flatnonzero(np.repeat((size > 1) & (size <= most), size))
+        for d in range(1, int(size[size <= most].max(initial=1))):
+            at = at[at < len(keys) - d]
+            at = at[keys[at] == keys[at + d]]
+            hit = at[wide_tallied((w0[at], w1[at]), (w0[at + d], w1[at + d]))]
+            links.append((hit, hit + d))
+        for k in np.flatnonzero(size > most):
+            rest, front = np.arange(edge[k], edge[k] + size[k]), []
+            while len(rest):
+                if not front:
+                    front, rest = [rest[0]], rest[1:]
+                one = front.pop()
+                hit = wide_tallied((w0[one], w1[one]), (w0[rest], w1[rest]))
+                if hit.any():
+                    links.append((np.full(int(hit.sum()), one), rest[hit]))
+                    front += rest[hit].tolist()
+                    rest = rest[~hit]
+        u, v = (np.concatenate(c) for c in zip(*links)) if links else (at[:0], at[:0])
+        if not len(u):
+            return None
+        label, old = np.arange(len(keys)), None
+        while old is None or (label != old).any():
+            old = label.copy()
+            least = np.minimum(label[u], label[v])
+            np.minimum.at(label, u, least)
+            np.minimum.at(label, v, least)
+            label = label[label]
+        rows = np.unique(np.concatenate([u, v]))
+        rows = rows[np.lexsort((nodes[rows], label[rows]))]
+        first = np.flatnonzero(np.diff(label[rows], prepend=-1))
+        hub = np.repeat(nodes[rows[first]], np.diff(np.append(first, len(rows))))
+        group = (keys[rows].view(np.uint64) * MIX ^ hub.view(np.uint64)) * MIX
+        others = np.ones(len(rows), bool)
+        others[first] = False
+        return pa.RecordBatch.from_arrays([pa.array(c[others]) for c in (group.view(np.int64), hub, nodes[rows], sizes[rows])], names=["key", "hub", "node", "size"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, enough = [], 200_000
+        for batch in batches:
+            if batch.num_rows:
+                key, node, size, w0, w1 = (c.to_numpy() for c in batch.columns)
+                held.append((key, node, size, w0.view(np.uint64), w1.view(np.uint64)))
+            if sum(len(h[0]) for h in held) >= enough:
+                whole = [np.concatenate(c) for c in zip(*held)]
+                cut = int(np.searchsorted(whole[0], whole[0][-1]))  # the last posting may go on
+                held, enough = [tuple(c[cut:] for c in whole)], max(200_000, 2 * (len(whole[0]) - cut))
+                if cut and (out := solve(*(c[:cut] for c in whole))) is not None:
+                    yield out
+        if held and (out := solve(*(np.concatenate(c) for c in zip(*held)))) is not None:
+            yield out
+
+    return run
+
+
+def groups_of(nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, size, fp) -> (key, hub, node, size): what meets in the inverted index and passes the count filter, key by key, in passes that free their shuffles."""
+    parts, step = [], PLACES // PASSES
+    for p in range(PASSES):
+        posted = nodes.where("length(fp) > 0").select("node", "size", "fp").mapInArrow(postings(range(p * step, (p + 1) * step)), "key long, node long, size long, w0 long, w1 long")
+        sorted_ = posted.repartition("key").sortWithinPartitions("key")
+        parts.append(scratch.write(sorted_.mapInArrow(posting_groups(), "key long, hub long, node long, size long"), f"groups{p}"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def alike(both, one, other):
     """Whether sets of these sizes with `both` shared are at least 0.8 alike by Jaccard: both / (one + other - both) >= 0.8."""
     return 9 * both >= 4 * (one + other)
@@ -370,15 +488,13 @@ def unsettled(met: DataFrame, roots: DataFrame, scratch: Scratch, most: int) ->
 
 
 def similar_roots(keyed: DataFrame, nodes: DataFrame, width: int, scratch: Scratch, most: int, spread: int) -> DataFrame:
-    """(node, root) of the components that similarities of nodes meeting under a key make; only linked nodes appear.
+    """(node, root) of the components that similarities of nodes meeting in a group of the index make; only linked nodes appear.
 
-    First every node is compared with the hubs of its keys, which settles groups of near copies in linear time.
+    First every node is compared with the hubs of its groups (keys here), which settles near copies in linear time.
     Only nodes that this leaves apart from their hub are compared further, within each key.
     """
     spark = keyed.sparkSession
-    posted = nodes.select("node", "size", F.explode("keys").alias("key"))
-    hubs = posted.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("other")).where("hub <> other").select("key", "hub")
-    met = scratch.write(posted.join(hubs, "key").where("node <> hub"), "met")
+    met = groups_of(nodes, scratch)
     asked = met.select("node").unionByName(met.select(F.col("hub").alias("node"))).distinct()
     places = nodes.select("node", "k.id", "k.th").join(asked, "node")
     texts = keyed.select("id", "th", "text").join(places.hint("merge"), ["id", "th"]).groupBy("node").agg(F.first("text").alias("text"))
@@ -399,8 +515,8 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id"
     # the row travels packed, so its columns may have any names
     text = F.col(text_col).cast("string")
     keyed = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(last)).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
-    each = scratch.write(keyed.select("id", "th", "text").mapInArrow(indexed(width), "id long, th long, node long, size long, keys array<long>"), "indexed")
-    nodes = scratch.write(each.groupBy("node").agg(F.min(F.struct("id", "th")).alias("k"), F.first("size").alias("size"), F.first("keys").alias("keys")), "nodes")
+    each = scratch.write(keyed.select("id", "th", "text").mapInArrow(indexed(width), "id long, th long, node long, size long, fp binary"), "indexed")
+    nodes = scratch.write(each.groupBy("node").agg(F.min(F.struct("id", "th")).alias("k"), F.first("size").alias("size"), F.first("fp").alias("fp")), "nodes")
     roots = similar_roots(keyed, nodes, width, scratch, most, spread)
     found = each.select("id", "th", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     per_doc = found.groupBy("root", "id", "th").agg(F.count("*").alias("n"))

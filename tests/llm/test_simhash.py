@@ -153,6 +153,72 @@ def test_chains_and_large_groups_of_near_copies(spark):
         assert sorted(r.doc_id for r in S.drop_near_duplicates(docs, most=most, spread=most).collect()) == want
 
 
+def test_wide_fingerprint():
+    """The majority of each hash bit, over texts longer than one block of sums; by plain integers."""
+    rng = random.Random(5)
+    for n in (1, 2, 5, 300):
+        grams = [rng.getrandbits(64) for _ in range(n)]
+        want = bytearray()
+        for turn in S.TURNS.tolist():
+            hs = []
+            for g in grams:
+                x = g * turn % 2**64
+                x = (x ^ x >> 32) * int(S.MIX) % 2**64
+                hs.append((x ^ x >> 29).to_bytes(8, "little"))
+            want += bytes(sum(1 << b for b in range(8) if 2 * sum(h[i] >> b & 1 for h in hs) > n) for i in range(8))
+        assert S.wide_fingerprint(np.asarray(grams, np.uint64)) == bytes(want)
+    assert S.wide_fingerprint(np.empty(0, np.uint64)) == b""
+
+
+def sets_alike(rng, both, one, other):
+    grams = rng.integers(0, 2**64, both + one + other, np.uint64)
+    return np.sort(grams[: both + one]), np.sort(np.concatenate([grams[:both], grams[both + one :]]))
+
+
+def test_index_of_byte_positions(spark):
+    """Groups are what the definition connects, pair by pair, and pairs of Jaccard 0.8 meet in one."""
+    rng = np.random.default_rng(8)
+    sets = [s for k in range(150) for s in sets_alike(rng, *[(80, 10, 10), (8, 1, 1), (400, 100, 0), (240, 30, 30)][k % 4])]
+    sets += [s for _ in range(50) for s in sets_alike(rng, 30, 60, 60)]
+    fps = [S.wide_fingerprint(s) for s in sets]
+    rows = spark.createDataFrame([(i, len(s), f) for i, (s, f) in enumerate(zip(sets, fps))] + [(9999, 0, b"")], "node long, size long, fp binary")
+    got = {}
+    for key, hub, node, size in S.groups_of(rows, Scratch(spark, "test")).collect():
+        got.setdefault(key, {hub}).add(node)
+        assert hub < node and size == len(sets[node])
+    want, m = Counter(), np.frombuffer(b"".join(fps), np.uint8).reshape(-1, S.WIDE)
+    for i in range(len(m)):
+        for j in range(i + 1, len(m)):
+            for p in np.flatnonzero((m[i, ::2] == m[j, ::2]) & (m[i, 1::2] == m[j, 1::2])).tolist():
+                at = [(2 * p + 2 + k) % S.WIDE for k in range(S.WINDOW)]
+                x = m[i, at] ^ m[j, at]
+                if 2 + (x == 0).sum() >= S.WIDE_BYTES and np.bitwise_count(x).sum() <= S.WIDE_BITS:
+                    want[i, j] += 1
+    meet = Counter((i, j) for g in got.values() for i in g for j in g if i < j)
+    assert set(meet) >= set(want) and all(meet[k] >= n for k, n in want.items())
+    assert sum(meet.values()) <= 1.05 * sum(want.values())
+    assert all((2 * k, 2 * k + 1) in meet for k in range(150)) and sum(i >= 300 for i, _ in meet) <= 1
+
+
+def test_long_postings_group_as_short_ones():
+    """A posting beyond the bound, with two groups of near copies and single texts, and one that goes over batches."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(10)
+    base = rng.integers(-(2**62), 2**62, (2, 2))
+    w = np.concatenate([np.repeat(base, 60, axis=0) ^ (np.int64(1) << rng.integers(0, 62, (120, 2))), rng.integers(-(2**62), 2**62, (30, 2))])
+    batches = [pa.RecordBatch.from_arrays([pa.array(np.full(50, 7)), pa.array(np.arange(a, a + 50)), pa.array(np.full(50, 9)), pa.array(w[a : a + 50, 0]), pa.array(w[a : a + 50, 1])], names=["key", "node", "size", "w0", "w1"]) for a in (0, 50, 100)]
+    found = []
+    for most in (1024, 20):
+        groups = {}
+        for b in S.posting_groups(most)(iter(batches)):
+            for key, hub, node, _ in zip(*(c.to_pylist() for c in b.columns)):
+                groups.setdefault(key, {hub}).add(node)
+        found.append(groups)
+    assert found[0] == found[1]
+    assert sorted(map(sorted, found[0].values())) == [list(range(60)), list(range(60, 120))]
+
+
 def test_pivots_and_the_rest():
     """Every link of a pivot counts, through others too; what only the rest connects among itself is left out."""
     of = lambda *xs: np.asarray(sorted(xs), np.uint64)
