@@ -13,7 +13,7 @@ answered exactly over all vectors, and so many parts are visited that `ROUTED` o
 `FEW` parts: all). In a shard a greedy beam search starts from the nearest of the entry nodes; its beam is measured
 too: it widens until a sample of the shard's queries finds `FOUND` of its exact answers there. Found nodes are scored
 again in double precision on the original vectors. The first `FEW` parts answer first; later ones send only what can
-still enter a query's best, so what is sent does not grow with the parts.
+still enter a query's best.
 
 A node stands for all rows with its vector, but only the least `k` + 1 ids are kept: no answer can need more,
 as ties go to the smaller id and the query itself takes one place at most.
